@@ -1,0 +1 @@
+"""Empty on purpose: every job is a bounded batch; incomplete periods are flagged as data."""
