@@ -16,7 +16,8 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+# The cast also reads Java literals such as 1.5d and 2f, which are no numbers in a data file.
+_JAVA_LITERAL = r"[0-9.][dDfF]\s*$"
 
 # -- casts ---------------------------------------------------------------------------------
 
@@ -32,7 +33,7 @@ def nan_to_null(col: Column) -> Column:
 def number_or_null(col: Column) -> Column:
     """Text to double; text that is no number becomes NULL, as does NaN."""
     text = col.cast("string")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(~text.rlike(_JAVA_LITERAL), nan_to_null(text.try_cast("double")))
 
 
 def number_of(df: DataFrame, name: str) -> Column:

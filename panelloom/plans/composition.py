@@ -1,6 +1,7 @@
 """Yearly demographic counts -> cleaned table -> shares and logs.
 
-Both tables are projections of the source row: no exchange at all.
+Both tables are projections of the source row: no exchange at all. The cleaned table is an
+output of the job, so the features read it back typed instead of parsing every text again.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from panelloom.functions.scalars import (
     strict_int,
     sum_any,
 )
+from panelloom.session import materialize
 
 # Identifier columns, special missing codes and the source columns of each bucket.
 ID_COLUMNS = ["year", "zcta5", "geo_id", "zcta_name"]
@@ -132,5 +134,5 @@ def composition_features(clean: DataFrame) -> DataFrame:
 
 def build_composition_features(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and the feature table."""
-    clean = clean_composition(raw)
+    clean = materialize(clean_composition(raw), "composition-clean")
     return clean, composition_features(clean)
