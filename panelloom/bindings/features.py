@@ -75,7 +75,7 @@ parts AS (
 
 
 def dominant_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = rank_bridge(supplier_nations(spark, sf_dir), "l_suppkey", "c_nationkey", "back", "shipped")
+    ranked = rank_bridge(materialize(supplier_nations(spark, sf_dir), "parts"), "l_suppkey", "c_nationkey", "back", "shipped")
     return ranked.select(
         "l_suppkey", whole(F.col("c_nationkey")).alias("c_nationkey"), fixed(F.col("share"), 6).alias("share"),
         "unit_count", "unit_rank", "is_dominant", fixed(F.col("dominant_share"), 6).alias("dominant_share"),

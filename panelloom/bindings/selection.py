@@ -164,7 +164,6 @@ _POWER_NAMES = [
 
 
 def corr_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twelve columns, 66 pairs: the block form."""
     audit = correlation_audit(_powers(spark, sf_dir), _POWER_NAMES, threshold=0.85)
     return audit.withColumn("abs_correlation", fixed(F.col("abs_correlation"), 6))
 

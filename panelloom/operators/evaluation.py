@@ -62,14 +62,16 @@ def error_summary(df: DataFrame, model: str = "model") -> DataFrame:
     )
 
 
-def update_metrics(metrics: DataFrame, summary: DataFrame, label: str | None = None) -> DataFrame:
+def update_metrics(
+    metrics: DataFrame, summary: DataFrame, label: str | None = None, unique: bool = False
+) -> DataFrame:
     """Replace the error columns of a per-model metrics table by those of ``summary``."""
     kept = metrics.drop(*SUMMARY_COLUMNS)
     if "model" not in kept.columns:
         if label is None:
             raise ValueError("metrics without a model column need a label")
         kept = kept.withColumn("model", F.lit(label))
-    return join_one_to_one(kept, summary, ["model"])
+    return join_one_to_one(kept, summary, ["model"], unique)
 
 
 def consolidate(tables: Sequence[tuple[DataFrame, Sequence[str] | None]]) -> DataFrame:

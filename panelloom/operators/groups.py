@@ -16,7 +16,10 @@ from panelloom.session import materialize
 
 
 def with_group_values(df: DataFrame, group: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """Add aggregates of the row's group; NULL keys form a group of their own."""
+    """Add aggregates of the row's group; NULL keys form a group of their own.
+
+    ``df`` is read twice, so pass a scan or a stored table rather than a long plan.
+    """
     stats = df.groupBy(*group).agg(*[v.alias(name) for name, v in values.items()])
     return match_nulls(df, materialize(stats, "group-values"), group)
 

@@ -1,14 +1,17 @@
 """Exact order statistics inside groups of any size.
 
 A window over a whole group runs in one task, and the built-in exact percentile keeps a
-group's values in one buffer. Here a group is cut into value ranges instead: rows are
-range-partitioned by (group, value), every range counts its own weight, and a running sum
-over the ranges (one row per group and range) gives each range its starting position.
+group's values in one buffer. Neither is used on data of unknown size. A table that was
+counted and is small takes the plain window; a larger one is cut into value ranges: rows
+are range-partitioned by (group, value), every range counts its own weight, and a running
+sum over the ranges (one row per group and range) gives each range its starting position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,87 +21,203 @@ from panelloom.session import materialize
 
 _SLICE, _BASE, _INNER = "_slice", "_base", "_inner"
 
+# A group of this many narrow rows sorts comfortably in one task.
+ONE_TASK_ROWS = 2_000_000
+
+# The quantile sketch is off by at most 1 / _SKETCH of the rows; brackets are wider than that.
+_SKETCH = 10_000
+_MARGIN = 5 / _SKETCH
+
+
+def _before(group: Sequence[str], order: Sequence[Column]):
+    return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
 
 def running_weight(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str,
+    stored: bool = False, one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``below`` (weight of earlier rows of the group) and ``total`` (weight of the group).
 
     Rows equal on ``order`` share a range, so make the order total or aggregate equal rows
-    into one weighted row beforehand.
+    into one weighted row beforehand. ``stored`` says that ``df`` is already a written table.
     """
     group = list(group)
+    if not stored:
+        df = materialize(df, "weights")
+    none = F.lit(0).cast("long")
+    if df.count() <= one_task_rows:
+        return df.withColumns(
+            {
+                "below": F.coalesce(F.sum(weight).over(_before(group, order)), none),
+                "total": F.sum(weight).over(Window.partitionBy(*group)),
+            }
+        )
     # The range number is only meaningful for this one placement, so it is written down.
     placed = materialize(
         df.repartitionByRange(*[F.col(c) for c in group], *order).withColumn(_SLICE, F.spark_partition_id()),
         "ranges",
     )
     # At most (groups + ranges) rows; a group has at most as many rows as there are ranges.
-    in_group = Window.partitionBy(*group)
-    before = in_group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         placed.groupBy(*group, _SLICE)
         .agg(F.sum(weight).alias("_w"))
         .select(
             *group,
             _SLICE,
-            F.coalesce(F.sum("_w").over(before), F.lit(0)).alias(_BASE),
-            F.sum("_w").over(in_group).alias("total"),
+            F.coalesce(F.sum("_w").over(_before(group, [F.col(_SLICE)])), none).alias(_BASE),
+            F.sum("_w").over(Window.partitionBy(*group)).alias("total"),
         )
     )
-    inside = (
-        Window.partitionBy(*group, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = placed.withColumn(_INNER, F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    inside = F.coalesce(F.sum(weight).over(_before([*group, _SLICE], order)), none)
     return (
-        match_nulls(counted, bases, [*group, _SLICE])
+        match_nulls(placed.withColumn(_INNER, inside), bases, [*group, _SLICE])
         .withColumn("below", F.col(_BASE) + F.col(_INNER))
         .drop(_SLICE, _BASE, _INNER)
     )
 
 
-def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+def value_positions(df: DataFrame, group: Sequence[str], value: str, **options) -> DataFrame:
     """One row per (group, distinct value) with its count ``n``, ``below`` and ``total``."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    return running_weight(counts, group, [F.col(value)], "n")
+    return running_weight(counts, group, [F.col(value)], "n", **options)
+
+
+def _interpolate(lo: Column, hi: Column, q: float, total: Column) -> Column:
+    at = F.lit(float(q)) * (total - 1)
+    return lo + (hi - lo) * (at - F.floor(at))
+
+
+def _pick(value: Column, start: Column, n: Column, index: Column, where: Column) -> Column:
+    """Within ``where``, the value whose run of equal rows covers the 0-based ``index``."""
+    return F.max(F.when(where & (start <= index) & (index < start + n), value))
+
+
+def _quantiles_by_position(df: DataFrame, group: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Quantiles from the positions of all distinct values."""
+    placed = value_positions(df, group, "_v")
+    v, start, n, total = F.col("_v"), F.col("below"), F.col("n"), F.col("total")
+    picks = []
+    for i, q in enumerate(quantiles.values()):
+        at = F.lit(float(q)) * (total - 1)
+        picks += [
+            _pick(v, start, n, F.floor(at), F.lit(True)).alias(f"_lo_{i}"),
+            _pick(v, start, n, F.ceil(at), F.lit(True)).alias(f"_hi_{i}"),
+        ]
+    found = placed.groupBy(*group).agg(F.max("total").alias("_total"), *picks)
+    return found.select(
+        *group,
+        *[
+            _interpolate(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"), q, F.col("_total")).alias(name)
+            for i, (name, q) in enumerate(quantiles.items())
+        ],
+    )
 
 
 def exact_quantiles(
     df: DataFrame, group: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``quantiles``."""
-    placed = value_positions(df, group, value)
-    picks, answers = [], []
-    for name, q in quantiles.items():
-        at = F.lit(float(q)) * (F.col("total") - 1)
-        covers = lambda k: (F.col("below") <= k) & (k < F.col("below") + F.col("n"))
+    """Exact quantiles with linear interpolation, one column per entry of ``quantiles``.
+
+    Meant for few groups of any size. A mergeable sketch brackets every quantile, then a
+    second scan counts the rows below each bracket and keeps only the distinct values inside
+    (about a thousandth of the rows), so the data itself is never shuffled. A group whose
+    bracket misses is solved from the positions of all its values.
+    """
+    group = list(group)
+    if not group:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, quantiles).drop("_all")
+    known = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    points = [p for q in quantiles.values() for p in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
+    brackets = materialize(
+        known.groupBy(*group).agg(F.percentile_approx("_v", points, _SKETCH).alias("_edges")), "brackets"
+    )
+    v, ids = F.col("_v"), range(len(quantiles))
+    low, high = ([F.col("_edges")[2 * i + k] for i in ids] for k in (0, 1))
+    inside = reduce(or_, [v.between(low[i], high[i]) for i in ids])
+    cells = materialize(
+        match_nulls(known, brackets, group)
+        .groupBy(*group, F.when(inside, v).alias("_cell"))
+        .agg(
+            F.count("*").alias("n"),
+            *[F.count_if(v < low[i]).alias(f"_below_{i}") for i in ids],
+            *[F.min(low[i]).alias(f"_low_{i}") for i in ids],
+            *[F.max(high[i]).alias(f"_high_{i}") for i in ids],
+        ),
+        "cells",
+    )
+    cell, n = F.col("_cell"), F.col("n")
+    # Rows below a bracket minus the kept ones among them: what to add to a kept row's position.
+    shifts = cells.groupBy(*group).agg(
+        F.sum("n").alias("_total"),
+        *[
+            (F.sum(f"_below_{i}") - F.coalesce(F.sum(F.when(cell < F.col(f"_low_{i}"), n)), F.lit(0))).alias(
+                f"_shift_{i}"
+            )
+            for i in ids
+        ],
+    )
+    kept = cells.filter(cell.isNotNull()).drop(*[f"_below_{i}" for i in ids])
+    placed = match_nulls(
+        running_weight(kept, group, [cell], "n", stored=True).drop("total"), shifts, group
+    )
+    picks = []
+    for i, q in enumerate(quantiles.values()):
+        at = F.lit(float(q)) * (F.col("_total") - 1)
+        start = F.col("below") + F.col(f"_shift_{i}")
+        own = cell.between(F.col(f"_low_{i}"), F.col(f"_high_{i}"))
         picks += [
-            F.max(F.when(covers(F.floor(at)), F.col(value))).alias(f"_{name}_lo"),
-            F.max(F.when(covers(F.ceil(at)), F.col(value))).alias(f"_{name}_hi"),
+            _pick(cell, start, n, F.floor(at), own).alias(f"_lo_{i}"),
+            _pick(cell, start, n, F.ceil(at), own).alias(f"_hi_{i}"),
         ]
-        part = F.lit(float(q)) * (F.col("_total") - 1)
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        answers.append((lo + (hi - lo) * (part - F.floor(part))).alias(name))
-    return placed.groupBy(*group).agg(F.max("total").alias("_total"), *picks).select(*group, *answers)
+    solved = placed.groupBy(*group).agg(F.max("_total").alias("_total"), *picks)
+    found = materialize(
+        solved.select(
+            *group,
+            *[
+                _interpolate(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"), q, F.col("_total")).alias(name)
+                for i, (name, q) in enumerate(quantiles.items())
+            ],
+        ),
+        "quantiles",
+    )
+    missed = reduce(or_, [F.col(name).isNull() for name in quantiles])
+    if found.filter(missed).isEmpty():
+        return found
+    again = _semi_nulls(known, found.filter(missed), group)
+    return found.filter(~missed).unionByName(_quantiles_by_position(again, group, quantiles))
+
 
+def _semi_nulls(df: DataFrame, keys: DataFrame, group: Sequence[str]) -> DataFrame:
+    marked = match_nulls(df, keys.select(*group, F.lit(True).alias("_hit")), group)
+    return marked.filter("_hit").drop("_hit")
 
-def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, **options) -> DataFrame:
     """1-based position of every row inside its group."""
-    ranked = running_weight(df.withColumn("_one", F.lit(1)), group, order, "_one")
+    ranked = running_weight(df.withColumn("_one", F.lit(1)), group, order, "_one", **options)
     return ranked.withColumn(name, (F.col("below") + 1).cast("long")).drop("_one", "below", "total")
 
 
-def percent_rank_average(df: DataFrame, group: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+def percent_rank_average(
+    df: DataFrame, group: Sequence[str], columns: Mapping[str, str], **options
+) -> DataFrame:
     """Average rank divided by the count of known values, per group; NULL stays NULL.
 
-    Only distinct values are ordered; the ranks then go back to the rows by an equi-join,
-    whose hot values adaptive execution splits.
+    Only distinct values are ordered, those of all columns in one pass; the ranks then go
+    back to the rows by an equi-join, whose hot values adaptive execution splits.
     """
+    group = list(group)
+    long = df.select(*group, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        group, list(columns), "_column", "_value"
+    )
+    placed = value_positions(long, [*group, "_column"], "_value", **options)
+    share = (F.col("below") + (F.col("n") + 1) / 2) / F.col("total")
+    ranks = materialize(placed.select(*group, "_column", "_value", share.alias("_share")), "ranks")
     for value, name in columns.items():
-        ranks = value_positions(df, group, value).select(
-            *group,
-            value,
-            ((F.col("below") + (F.col("n") + 1) / 2) / F.col("total")).alias(name),
+        of_column = ranks.filter(F.col("_column") == value).select(
+            *group, F.col("_value").alias(f"_at_{name}"), F.col("_share").alias(name)
         )
-        df = match_nulls(df, materialize(ranks, "ranks"), [*group, value])
+        at = df.withColumn(f"_at_{name}", F.col(value).cast("double"))
+        df = match_nulls(at, of_column, [*group, f"_at_{name}"]).drop(f"_at_{name}")
     return df

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -16,8 +15,6 @@ from panelloom.functions.scalars import nan_to_null
 # Texts of a column that holds only yes/no entries.
 BOOLEAN_TEXTS = ["true", "false", "0", "1"]
 
-_PAIRS_PER_AGG = 64
-
 
 def feature_kind(dtype: T.DataType) -> str:
     if isinstance(dtype, T.BooleanType):
@@ -70,26 +67,27 @@ def _numeric_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if feature_kind(df.schema[c].dataType) != "categorical"]
 
 
-def _pair_row(left: str, right: str) -> Column:
-    x, y = F.col(left), F.col(right)
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.struct(
-        F.lit(left).alias("left_feature"),
-        F.lit(right).alias("right_feature"),
-        F.abs(F.try_divide(F.covar_pop(x, y), spread)).alias("abs_correlation"),
-    )
-
-
-def _pairs_by_aggregate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    rows = [_pair_row(a, b) for a, b in combinations(columns, 2)]
-    return df.agg(F.array(*rows).alias("_pairs")).select(F.inline("_pairs"))
-
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """|Pearson| of every numeric column pair over the rows where both are known.
 
-def _pairs_by_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cross products of every column pair in one scan, one small matrix set per task."""
-    names = list(columns)
-    center = df.agg(*[F.avg(c).alias(c) for c in names]).first()
-    shift = np.array([center[c] if center[c] is not None else 0.0 for c in names])
+    A pair with a constant side has a NULL correlation. Each task turns its rows into one
+    set of small (columns x columns) cross products, so all pairs take a single scan; a
+    plain aggregate would hold three expressions per pair.
+    """
+    names = _numeric_columns(df, columns)
+    data = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in names])
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame(
+            [], "left_feature string, right_feature string, abs_correlation double"
+        )
+    found = data.agg(
+        *[F.avg(c).alias(f"avg_{c}") for c in names],
+        *[F.min(c).alias(f"min_{c}") for c in names],
+        *[F.max(c).alias(f"max_{c}") for c in names],
+    ).first()
+    # Sums around the mean keep their digits; a constant column must become exactly zero.
+    flat = {c: found[f"min_{c}"] == found[f"max_{c}"] for c in names}
+    shift = np.array([(found[f"min_{c}"] if flat[c] else found[f"avg_{c}"]) or 0.0 for c in names])
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = len(names)
@@ -109,34 +107,24 @@ def _pairs_by_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
 
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    total = df.select(*names).mapInPandas(sums, schema).groupBy("i", "j").agg(
+    total = data.mapInPandas(sums, schema).groupBy("i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
     )
 
     def spread(square: str, first: str) -> Column:
-        return F.greatest(F.col(square) - F.col(first) * F.try_divide(F.col(first), F.col("n")), F.lit(0.0))
+        around = F.col(square) - F.col(first) * F.try_divide(F.col(first), F.col("n"))
+        # Below this only rounding is left: the side is constant over the shared rows.
+        return F.when(around > F.col(square) * 1e-13, around)
 
     cov = F.col("sxy") - F.col("sx") * F.try_divide(F.col("sy"), F.col("n"))
     label = F.array(*[F.lit(c) for c in names])
     return total.select(
         label[F.col("i")].alias("left_feature"),
         label[F.col("j")].alias("right_feature"),
-        F.abs(F.try_divide(cov, F.sqrt(spread("sxx", "sx") * spread("syy", "sy")))).alias("abs_correlation"),
+        F.abs(cov / F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))).alias("abs_correlation"),
     )
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """|Pearson| of every numeric column pair over the rows where both are known.
-
-    A pair with a constant side has a NULL correlation. A few pairs fit one built-in
-    aggregate; many pairs take one scan with block products.
-    """
-    names = _numeric_columns(df, columns)
-    data = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in names])
-    small = len(names) * (len(names) - 1) // 2 <= _PAIRS_PER_AGG
-    return (_pairs_by_aggregate if small else _pairs_by_blocks)(data, names)
-
-
 def correlation_audit(df: DataFrame, columns: Sequence[str], threshold: float = 0.95) -> DataFrame:
     """Column pairs that carry nearly the same signal, strongest first."""
     note = f"selected_numeric_pair_abs_corr_ge_{threshold}"

@@ -20,6 +20,7 @@ from panelloom.functions.scalars import (
 from panelloom.operators.aggregates import first_known, last_known, month_set, weighted_mean
 from panelloom.operators.joins import at_most_max_less_one, key_filter, next_period
 from panelloom.operators.quality import require_unique
+from panelloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -167,8 +168,12 @@ def add_next_year_target(yearly: DataFrame, periods: DataFrame, entity: str, pri
 def build_annual_panel(
     raw: DataFrame, valid_keys: DataFrame, property_type: str = "All Residential"
 ) -> tuple[DataFrame, DataFrame]:
-    """The yearly table and the modelling table; a repeated (area, year, period end) is an error."""
-    monthly = clean_monthly(raw, valid_keys, property_type)
+    """The yearly table and the modelling table; a repeated (area, year, period end) is an error.
+
+    The text is parsed once: the key check, the roll-up and the last-year lookup read the
+    typed rows.
+    """
+    monthly = materialize(clean_monthly(raw, valid_keys, property_type), "monthly")
     require_unique(monthly, ["zcta5", "year", "period_end"])
     yearly = yearly_rollup(monthly, LISTINGS)
     return yearly, add_next_year_target(yearly, monthly, "zcta5", LISTINGS.price_output)

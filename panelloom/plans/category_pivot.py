@@ -12,6 +12,7 @@ from panelloom.functions.scalars import number_of, strict_int, sum_zero
 from panelloom.operators.aggregates import sum_or_zero
 from panelloom.operators.joins import join_many_to_one
 from panelloom.operators.pivoting import add_rates, category_count, category_sums, category_values
+from panelloom.session import materialize
 
 # Size-bucket columns and the labels with a set name.
 BUCKETS = [
@@ -77,5 +78,5 @@ def category_features(
 
 def build_category_pivot_features(raw: DataFrame, population: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and the feature table."""
-    clean = clean_categories(raw)
+    clean = materialize(clean_categories(raw), "categories-clean")
     return clean, category_features(clean, population)

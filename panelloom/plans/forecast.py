@@ -84,4 +84,4 @@ def evaluate_holdout(predictions: DataFrame, target: Target) -> DataFrame:
     """One row per model: fit metrics and relative-error summary."""
     errors = materialize(add_relative_errors(predictions, target.actual, target.predicted), "errors")
     fit = regression_metrics(errors, ["model"], target.current, target.actual, target.predicted)
-    return update_metrics(fit, error_summary(errors))
+    return update_metrics(fit, error_summary(errors), unique=True)  # both are grouped by model

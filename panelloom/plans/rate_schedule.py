@@ -198,6 +198,7 @@ def area_county_bridge(raw: DataFrame, prefix: str = STATE_PREFIX) -> DataFrame:
         F.coalesce(number_of(rows, "AREALAND_PART"), F.lit(0.0)).alias("_land"),
         F.coalesce(number_of(rows, "AREAWATER_PART"), F.lit(0.0)).alias("_water"),
     )
+    parts = materialize(parts, "bridge-parts")
     return rank_bridge(parts, "zcta5", "county_fips", "_land", "_water").select(
         "zcta5", "county_fips", "county",
         F.col("share").alias("zcta_county_area_share"),

@@ -10,6 +10,7 @@ from panelloom.functions.scalars import int_or_null, known, log1p, not_in, numbe
 from panelloom.operators.groups import zscore
 from panelloom.operators.joins import key_filter
 from panelloom.operators.ordering import percent_rank_average
+from panelloom.session import materialize
 
 # Measure columns, the scored ones, and the years without a full assessment.
 MEASURES = [
@@ -43,8 +44,8 @@ def clean_scores(raw: DataFrame, valid_keys: DataFrame) -> DataFrame:
 
 
 def build_relative_scores(raw: DataFrame, valid_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The cleaned table and the feature table."""
-    clean = clean_scores(raw, valid_keys)
+    """The cleaned table, written once because every score reads it, and the feature table."""
+    clean = materialize(clean_scores(raw, valid_keys), "scores-clean")
     group = ["assessment_type", "year"]
     scored = zscore(clean, group, {c: f"{c}_z_assessment_year" for c in SCORED})
     scored = percent_rank_average(scored, group, {c: f"{c}_pct_assessment_year" for c in SCORED})
