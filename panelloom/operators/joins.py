@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import known
 from panelloom.operators.quality import require_unique
+from panelloom.session import materialize
 
 
 def match_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,8 +22,12 @@ def match_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def key_filter(df: DataFrame, valid: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the rows whose key occurs in ``valid``."""
-    return df.join(valid.select(*keys), list(keys), "left_semi")
+    """Keep the rows whose key occurs in ``valid``.
+
+    The distinct keys are written once: if they are small the join broadcasts them, if not
+    both sides are plain scans, which lets adaptive execution split a hot key.
+    """
+    return df.join(materialize(valid.select(*keys).distinct(), "valid-keys"), list(keys), "left_semi")
 
 
 def checked_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,24 +48,30 @@ def checked_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def join_many_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+def join_many_to_one(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = False, store: bool = True
+) -> DataFrame:
     """Left join that fails when a key repeats on the right.
 
     ``unique=True`` skips the check for a right side that is a ``groupBy`` on ``keys``.
+    The right side is written first, so its real size decides between a broadcast and a
+    sort-merge join, and a hot left key can be split (adaptive execution does not split a
+    join whose input is an aggregate). ``store=False`` is for a left side with one row per
+    key, which cannot be hot, or a right side that is a table already.
     """
     right = right if unique else checked_unique(right.dropna(subset=list(keys)), keys)
-    return left.join(right, list(keys), "left")
+    return left.join(materialize(right, "lookup") if store else right, list(keys), "left")
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Left join that fails when a key repeats on either side."""
     if not unique:
         require_unique(left, keys)
-    return join_many_to_one(left, right, keys, unique)
+    return join_many_to_one(left, right, keys, unique, store=False)
 
 
 def attach_features(
-    base: DataFrame, features: DataFrame | None, label: str, keys: Sequence[str], unique: bool = False
+    base: DataFrame, features: DataFrame | None, label: str, keys: Sequence[str], store: bool = True
 ) -> DataFrame:
     """Left-join a feature table and flag the rows that received any value.
 
@@ -73,7 +84,7 @@ def attach_features(
     clash = sorted(set(new) & set(base.columns))
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
-    joined = join_many_to_one(base, features, keys, unique)
+    joined = join_many_to_one(base, features, keys, store=store)
     present = reduce(or_, [F.col(c).isNotNull() for c in new]) if new else F.lit(False)
     return joined.withColumn(flag, present)
 
@@ -83,10 +94,11 @@ def assemble_panel(
 ) -> DataFrame:
     """Left-join every source on the panel key, one presence flag each.
 
-    All joins share one key, so the panel is exchanged once and stays in place.
+    ``base`` has one row per key. All joins share the key, so it is exchanged once at most
+    and each source is checked in the exchange that its join needs anyway.
     """
     for label, features in sources.items():
-        base = attach_features(base, features, label, keys)
+        base = attach_features(base, features, label, keys, store=False)
         if prefix:
             base = base.withColumnRenamed(f"has_{label}", f"{prefix}has_{label}")
     return base
@@ -115,7 +127,3 @@ def at_most_max_less_one(df: DataFrame, period: str, source: DataFrame) -> DataF
 def expand_periods(df: DataFrame, periods: Sequence[int], name: str) -> DataFrame:
     """One copy of every row per period of a known, short list."""
     return df.withColumn(name, F.explode(F.array(*[F.lit(int(p)) for p in periods])))
-
-
-def any_known(cols: Sequence[Column]) -> Column:
-    return reduce(or_, [c.isNotNull() for c in cols])

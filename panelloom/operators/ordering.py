@@ -4,7 +4,7 @@ A window over a whole group runs in one task, and the built-in exact percentile
 group's values in one buffer. Neither is used on data of unknown size. A table that was
 counted and is small takes the plain window; a larger one is cut into value ranges: rows
 are range-partitioned by (group, value), every range counts its own weight, and a running
-sum over the ranges (one row per group and range) gives each range its starting position.
+sum over the ranges gives each range its starting position.
 """
 
 from __future__ import annotations
@@ -58,22 +58,34 @@ def running_weight(
         df.repartitionByRange(*[F.col(c) for c in group], *order).withColumn(_SLICE, F.spark_partition_id()),
         "ranges",
     )
-    # At most (groups + ranges) rows; a group has at most as many rows as there are ranges.
-    bases = (
+    # Ranges are contiguous, so only a group cut by a range border lies in several of them:
+    # at most two rows per range, whatever the number of groups and rows.
+    whole = Window.partitionBy(*group)
+    cut = (
         placed.groupBy(*group, _SLICE)
         .agg(F.sum(weight).alias("_w"))
         .select(
             *group,
             _SLICE,
-            F.coalesce(F.sum("_w").over(_before(group, [F.col(_SLICE)])), none).alias(_BASE),
-            F.sum("_w").over(Window.partitionBy(*group)).alias("total"),
+            F.sum("_w").over(_before(group, [F.col(_SLICE)])).alias(_BASE),
+            F.sum("_w").over(whole).alias("_all"),
+            F.count("*").over(whole).alias("_parts"),
         )
+        .filter("_parts > 1")
+        .drop("_parts")
+    )
+    own = [*group, _SLICE]
+    counted = placed.withColumns(
+        {
+            _INNER: F.coalesce(F.sum(weight).over(_before(own, order)), none),
+            "_own": F.sum(weight).over(Window.partitionBy(*own)),
+        }
     )
-    inside = F.coalesce(F.sum(weight).over(_before([*group, _SLICE], order)), none)
     return (
-        match_nulls(placed.withColumn(_INNER, inside), bases, [*group, _SLICE])
-        .withColumn("below", F.col(_BASE) + F.col(_INNER))
-        .drop(_SLICE, _BASE, _INNER)
+        match_nulls(counted, materialize(cut, "cut-groups"), own)
+        .withColumn("below", F.coalesce(F.col(_BASE), none) + F.col(_INNER))
+        .withColumn("total", F.coalesce("_all", "_own"))
+        .drop(_SLICE, _BASE, _INNER, "_all", "_own")
     )
 
 

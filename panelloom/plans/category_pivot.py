@@ -72,7 +72,7 @@ def category_features(
         "zcta5", "year", F.col("total_population").alias("amenities_population_for_rate")
     )
     # ``wide`` is grouped by the key, so only the population needs the check.
-    joined = join_many_to_one(wide, people, ["zcta5", "year"])
+    joined = join_many_to_one(wide, people, ["zcta5", "year"], store=False)
     return add_rates(joined, "amenity_est_", "amenity_per_10k_", "amenities_population_for_rate", 10_000.0)
 
 

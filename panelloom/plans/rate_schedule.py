@@ -127,7 +127,7 @@ def county_year_rates(clean: DataFrame, schedule: DataFrame) -> DataFrame:
     first_input = clean.filter(~F.col("minimum_wage_backfilled")).agg(F.min("year")).scalar()
     state, local = F.col("state_minimum_wage_annual_avg"), F.col("county_ordinance_wage_annual_avg")
     joined = join_many_to_one(
-        grid.join(ordinances, ["county", "year"], "left"), schedule, ["year"], unique=True
+        grid.join(ordinances, ["county", "year"], "left"), schedule, ["year"], unique=True, store=False
     )
     effective = F.greatest(state, local)
     return joined.withColumns(
@@ -215,7 +215,7 @@ def area_rates(bridge: DataFrame, county_year: DataFrame) -> DataFrame:
     county_year = materialize(county_year, "county-year")
     years = sorted(r["year"] for r in county_year.select("year").distinct().collect())  # one row per year
     by_year = join_many_to_one(
-        expand_periods(bridge, years, "year"), county_year, ["county", "year"], unique=True
+        expand_periods(bridge, years, "year"), county_year, ["county", "year"], unique=True, store=False
     )
     share = F.col("zcta_county_area_share")
     # An unmatched county drops out of the sum without re-weighting the others.

@@ -12,11 +12,14 @@ SESSION_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Table sizes are those of compressed files; what is broadcast is not compressed.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Split a hot join key even when the split costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,4 +50,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has written; returns how many.
+
+    Call it once the results that read them are stored.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = hadoop.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
