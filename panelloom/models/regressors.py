@@ -26,7 +26,9 @@ def fit_ridge(encoded: DataFrame, label: str, alpha: float, width: int) -> Linea
     """Least squares with penalty ``alpha * |w|^2`` and a free intercept; ``alpha=0`` is plain OLS.
 
     MLlib divides the loss by the row count and scales the label, so the penalty is
-    expressed in those units; the two solvers scale by different label deviations.
+    expressed in those units; the two solvers scale by different label deviations. The
+    tight tolerance is for the iterative solver, which also steps in when a column is
+    constant.
     """
     normal = width <= _MAX_NORMAL
     spread = F.stddev_pop(label) if normal else F.stddev_samp(label)
@@ -34,6 +36,7 @@ def fit_ridge(encoded: DataFrame, label: str, alpha: float, width: int) -> Linea
     return LinearRegression(
         featuresCol=FEATURES, labelCol=label, elasticNetParam=0.0, standardization=False,
         solver="normal" if normal else "l-bfgs", regParam=alpha / n * (sd or 1.0),
+        tol=1e-12, maxIter=1000,
     ).fit(encoded)
 
 
