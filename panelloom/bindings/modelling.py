@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,6 +202,29 @@ def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coefficient_rollup({"ridge": (model, pre), "ols": (plain, pre)}, encoded)
 
 
+def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vector of the test rows: scaled numbers, flags and one-hot slots."""
+    train, test = _train_test(spark, sf_dir)
+    pre = fit_preprocessor(train, NUMERIC, BOOLEAN, CATEGORICAL)
+    slots = vector_to_array("features")
+    out = pre.transform(test).select("l_partkey", whole(F.col("year")).alias("year"), slots.alias("_slots"))
+    names = [term.replace("=", "_").lower() for _, term in pre.terms]
+    return out.select("l_partkey", "year", *[fixed(F.col("_slots")[i]).alias(n) for i, n in enumerate(names)])
+
+
+def one_feature_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of one-column OLS and ridge, whose closed form SQL can state."""
+    train, _ = _train_test(spark, sf_dir)
+    pre = fit_preprocessor(train, ["log_price"])
+    encoded = materialize(pre.transform(train).select("log_change", "features"), "encoded")
+    models = {name: (fit_ridge(encoded, "log_change", a, 1), pre) for name, a in (("ols", 0.0), ("ridge", 25.0))}
+    out = coefficient_rollup(models, encoded)
+    return out.select(
+        "model", "feature", fixed(F.col("max_abs_coefficient"), 6).alias("max_abs_coefficient"),
+        fixed(F.col("sum_abs_coefficient"), 6).alias("sum_abs_coefficient"), "coefficient_terms",
+    )
+
+
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     pre, _, test, model = _ridge(spark, sf_dir)
     found = permutation_importance(model, pre, test, "log_change", ["l_partkey", "year"], repeats=3)
@@ -220,7 +244,9 @@ QUERIES = {
     "ols_fit_predict": ols_fit_predict,
     "rf_fit_predict": rf_fit_predict,
     "gbt_fit_predict": gbt_fit_predict,
+    "encoded_features": encoded_features,
     "coefficient_rollup": coefficients,
+    "one_feature_coefficients": one_feature_coefficients,
     "permutation_importance": importance,
 }
 
@@ -300,6 +326,12 @@ _NO_CHANGE = {
     **_all_fit_sql("price", "next_price", "price"),
     **_summary_sql("((price - next_price) / next_price)"),
 }
+
+def _scaled_sql(c: str) -> str:
+    filled = f"coalesce({c}, (SELECT median({c}) FROM train))"
+    return f"({filled} - (SELECT avg({filled}) FROM train)) / (SELECT stddev_pop({filled}) FROM train)"
+
+
 ORACLES = {
     "relative_errors": f"""WITH {_PREDICTIONS_SQL}
 SELECT o_orderkey, model, actual, {fx('predicted', 2)} AS predicted, {fx('r')} AS relative_error,
@@ -346,6 +378,23 @@ f AS (SELECT test.*, b + w * (coalesce(discount, d) - mean) / scale AS p FROM te
 SELECT l_partkey, year, 'ridge' AS model, {fx('p', 6)} AS pred_log_change, {fx('price * exp(p)', 3)} AS pred_price
 FROM f
 UNION ALL SELECT l_partkey, year, 'no_change', 0.0, {fx('price', 3)} FROM test""",
+    "encoded_features": f"""WITH {_PANEL_SQL},
+mode AS (SELECT p_type FROM train WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, p_type LIMIT 1),
+t AS (SELECT *, coalesce(p_type, (SELECT p_type FROM mode)) AS kind FROM test)
+SELECT l_partkey, year, """
+    + ", ".join(
+        f"{fx(_scaled_sql(c))} AS {c}" for c in NUMERIC
+    )
+    + f", {fx('(returned::INT - (SELECT avg(returned::INT) FROM train)) / (SELECT stddev_pop(returned::INT) FROM train)')} AS returned, "
+    + ", ".join(f"(kind = '{k}')::INT::DOUBLE AS p_type_{k.lower()}" for k in ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"))
+    + " FROM t",
+    "one_feature_coefficients": f"""WITH {_PANEL_SQL},
+z AS (SELECT (log_price - avg(log_price) OVER ()) / stddev_pop(log_price) OVER () AS z, log_change AS y FROM train),
+w AS (
+  SELECT 'ols' AS model, abs(sum(z * y) / count(*)) AS w FROM z
+  UNION ALL SELECT 'ridge', abs(sum(z * y) / (count(*) + 25.0)) FROM z)
+SELECT model, 'log_price' AS feature, {fx('w', 6)} AS max_abs_coefficient, {fx('w', 6)} AS sum_abs_coefficient,
+       1::BIGINT AS coefficient_terms FROM w""",
     "no_change_metrics": f"WITH {_PANEL_SQL} SELECT 'no_change' AS model, "
     + ", ".join(f"{fx(e)} AS {c}" for c, e in _NO_CHANGE.items())
     + " FROM test",

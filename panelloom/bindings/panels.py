@@ -60,7 +60,7 @@ def monthly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MONTHLY_SQL = """
+MONTHLY_SQL = """
 monthly AS (
   SELECT l_suppkey, year(l_shipdate) AS year, month(l_shipdate) AS month,
          last_day(l_shipdate) AS period_end,
@@ -134,7 +134,7 @@ def next_year_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_NEXT_YEAR_SQL = f"""WITH {_MONTHLY_SQL}
+_NEXT_YEAR_SQL = f"""WITH {MONTHLY_SQL}
 SELECT a.l_suppkey, a.year::BIGINT AS year, {fx('a.annual_price')} AS annual_price,
        b.months_observed::BIGINT AS next_year_months_observed,
        b.full_year_coverage AS next_year_full_year_coverage,
@@ -316,7 +316,7 @@ QUERIES = {
 }
 
 ORACLES = {
-    "annual_rollup": f"WITH {_MONTHLY_SQL} {_SHOW_ANNUAL_SQL}",
+    "annual_rollup": f"WITH {MONTHLY_SQL} {_SHOW_ANNUAL_SQL}",
     "next_year_target": _NEXT_YEAR_SQL,
     "weighted_mean_fallback": f"""
 SELECT l_partkey, year(l_shipdate)::BIGINT AS year,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.bindings.common import fixed, fx, table, whole
+from panelloom.bindings.panels import MONTHLY, MONTHLY_SQL, monthly_lines
+from panelloom.functions.keys import pad_key
 from panelloom.operators.profiling import (
     column_profile,
     correlation_audit,
@@ -17,8 +19,16 @@ from panelloom.operators.profiling import (
 )
 from panelloom.operators.rules import Rule, first_match, named
 from panelloom.operators.splitting import fold_summary, split_summary, temporal_split, valid_target
-from panelloom.plans.model_data import with_source_group
-from panelloom.plans.select_features import constant_column, exclusion_rules, feature_sets, select_schema
+from panelloom.plans.annual_panel import add_next_year_target, yearly_rollup
+from panelloom.plans.model_data import ModelData, prepare_model_data, with_source_group
+from panelloom.plans.select_features import (
+    constant_column,
+    exclusion_rules,
+    feature_sets,
+    select_features,
+    select_schema,
+)
+from panelloom.session import materialize
 
 TRAIN, TEST = (1995, 1999), 2000
 
@@ -168,7 +178,58 @@ def corr_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.withColumn("abs_correlation", fixed(F.col("abs_correlation"), 6))
 
 
+# Yearly columns of the supplier panel under the names the modelling jobs expect.
+_PANEL_NAMES = {
+    "first_flag": "parent_metro_region", "months_observed": "months_observed", "first_month": "first_month",
+    "last_month": "last_month", "full_year_coverage": "full_year_coverage",
+    "months_with_price": "months_with_median_sale_price", "months_with_sold": "months_with_homes_sold",
+    "months_with_stock": "months_with_inventory", "annual_sold": "annual_homes_sold",
+    "annual_listed": "annual_new_listings", "annual_stock_mean": "annual_inventory_mean",
+    "annual_stock_end": "annual_inventory_end", "annual_months_of_supply": "annual_months_of_supply_est",
+    "annual_price": "annual_median_sale_price", "annual_discount": "annual_median_dom",
+}
+
+
+def supplier_model_data(spark: SparkSession, sf_dir: str) -> ModelData:
+    """Roll-up, target, split, profile and folds of the supplier panel in one job."""
+    monthly = materialize(monthly_lines(spark, sf_dir), "monthly-lines")
+    panel = add_next_year_target(yearly_rollup(monthly, MONTHLY), monthly, "l_suppkey", "annual_price")
+    names = {**_PANEL_NAMES, "l_suppkey": "zcta5", "next_year_annual_price": "next_year_annual_median_sale_price"}
+    keyed = panel.withColumn("l_suppkey", pad_key(F.col("l_suppkey"))).withColumnsRenamed(names)
+    return prepare_model_data(keyed, train_years=TRAIN, test_year=TEST, first_validation_year=1997)
+
+
+def model_data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = supplier_model_data(spark, sf_dir).profile
+    # Distinct counts of sums depend on the order of addition, so only counted columns show theirs.
+    counted = F.when(~F.col("feature").startswith("annual_"), F.col("n_unique"))
+    return profile.select(
+        "feature", "feature_kind", "source_group", fixed(F.col("missing_rate"), 6).alias("missing_rate"),
+        counted.alias("n_unique"),
+    )
+
+
+def model_data_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return supplier_model_data(spark, sf_dir).folds
+
+
+def selected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model rows projected to the selected features."""
+    data = supplier_model_data(spark, sf_dir)
+    rows = select_features(data.rows, data.profile).rows
+    return rows.select(
+        "zcta5", whole(F.col("year")).alias("year"), "split",
+        *[
+            fixed(F.col(c)).alias(c) if kind == "double" else (F.col(c) if kind != "int" else whole(F.col(c)).alias(c))
+            for c, kind in rows.dtypes if c not in ("zcta5", "year", "split")
+        ],
+    )
+
+
 QUERIES = {
+    "model_data_profile": model_data_profile,
+    "model_data_folds": model_data_folds,
+    "selected_rows": selected_rows,
     "temporal_split_summary": temporal_split_summary,
     "complete_target_split": complete_target_split,
     "cv_fold_summary": cv_fold_summary,
@@ -253,7 +314,49 @@ def _corr_sql(pairs: list[tuple[str, str]], source: str) -> str:
 
 _CORR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "returned"]
 
+_SUPPLIER_SQL = f"""WITH {MONTHLY_SQL},
+panel AS (
+  SELECT a.*, b.annual_price AS next_price, ln(b.annual_price) - ln(a.annual_price) AS change,
+         CASE WHEN a.year <= {TRAIN[1]} THEN 'train_{TRAIN[0]}_{TRAIN[1]}' ELSE 'test_{TEST}' END AS split
+  FROM annual a JOIN annual b ON a.l_suppkey = b.l_suppkey AND b.year = a.year + 1
+  WHERE a.annual_price > 0 AND b.annual_price > 0 AND b.full_year_coverage AND a.year BETWEEN {TRAIN[0]} AND {TEST})
+"""
+
+
+def _panel_profile_sql() -> str:
+    kinds = {"first_flag": "categorical", "full_year_coverage": "boolean"}
+    rows = [
+        f"SELECT '{name}' AS feature, '{kinds.get(c, 'numeric')}' AS feature_kind, "
+        f"'{'time' if c == 'year' else 'listings'}' AS source_group, "
+        f"{fx(f'(count(*) - count({c})) / count(*)::DOUBLE', 6)} AS missing_rate, "
+        f"{'NULL::BIGINT' if c.startswith('annual_') else f'count(DISTINCT {c})'} AS n_unique FROM panel"
+        for c, name in {"year": "year", **_PANEL_NAMES}.items()
+    ]
+    return _SUPPLIER_SQL + " UNION ALL ".join(rows)
+
+
 ORACLES = {
+    "model_data_profile": _panel_profile_sql(),
+    "model_data_folds": _SUPPLIER_SQL
+    + " UNION ALL ".join(
+        f"""SELECT {fold}::BIGINT AS fold, {v}::BIGINT AS validation_year,
+       min(year) FILTER (WHERE year < {v})::BIGINT AS train_year_min,
+       max(year) FILTER (WHERE year < {v})::BIGINT AS train_year_max,
+       count(*) FILTER (WHERE year < {v}) AS train_rows,
+       count(DISTINCT l_suppkey) FILTER (WHERE year < {v}) AS train_entities,
+       count(*) FILTER (WHERE year = {v}) AS validation_rows,
+       count(DISTINCT l_suppkey) FILTER (WHERE year = {v}) AS validation_entities
+FROM panel WHERE split <> 'test_{TEST}'"""
+        for fold, v in enumerate(range(1997, TRAIN[1] + 1), start=1)
+    ),
+    "selected_rows": _SUPPLIER_SQL
+    + f"""SELECT lpad(l_suppkey::VARCHAR, 5, '0') AS zcta5, year::BIGINT AS year, split,
+       {fx('next_price')} AS y_next_year_median_sale_price, {fx('change')} AS y_next_year_median_sale_price_log_change,
+       first_flag AS parent_metro_region, months_observed::BIGINT AS months_observed, full_year_coverage,
+       {fx('annual_sold')} AS annual_homes_sold, {fx('annual_stock_mean')} AS annual_inventory_mean,
+       {fx('annual_months_of_supply')} AS annual_months_of_supply_est, {fx('annual_price')} AS annual_median_sale_price,
+       {fx('annual_discount')} AS annual_median_dom
+FROM panel""",
     "temporal_split_summary": f"""WITH {_ORDERS_SQL}
 SELECT split, year, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_entities,
        {fx('min(change)', 6)} AS target_min, {fx('median(change)', 6)} AS target_median,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,13 +100,12 @@ def build_panel(listings: DataFrame, sources: dict[str, DataFrame | None]) -> Da
 
 @dataclass(frozen=True)
 class ModelData:
+    """The split rows and their column profile; the summaries run when they are asked for."""
+
     rows: DataFrame
     features: list[str]
     profile: DataFrame
-    split_summary: DataFrame
-    folds: DataFrame
-    kind_counts: DataFrame
-    group_counts: DataFrame
+    validation_years: range
 
     @property
     def train(self) -> DataFrame:
@@ -115,6 +115,22 @@ class ModelData:
     def test(self) -> DataFrame:
         return self.rows.filter(F.col("split").startswith("test_"))
 
+    @cached_property
+    def split_summary(self) -> DataFrame:
+        return split_summary(self.rows, ["split", "year"], "zcta5", CHANGE_ALIAS)
+
+    @cached_property
+    def folds(self) -> DataFrame:
+        return fold_summary(self.train, "zcta5", "year", self.validation_years)
+
+    @property
+    def kind_counts(self) -> DataFrame:
+        return value_counts(self.profile, "feature_kind")
+
+    @property
+    def group_counts(self) -> DataFrame:
+        return value_counts(self.profile, "source_group")
+
 
 def prepare_model_data(
     panel: DataFrame, allow_incomplete_target: bool = False,
@@ -123,7 +139,7 @@ def prepare_model_data(
 ) -> ModelData:
     """Filter, split, project and describe the model rows.
 
-    The split rows are written once: the profile, both summaries and the models read them.
+    The split rows are written once: the profile, the summaries and the models read them.
     """
     frame = with_target_aliases(panel)
     complete = None if allow_incomplete_target else F.col("target_next_year_complete")
@@ -137,13 +153,4 @@ def prepare_model_data(
         "model-rows",
     )
     profile = with_source_group(materialize(column_profile(rows, features), "profile"))
-    in_train = rows.filter(F.col("split").startswith("train_"))
-    return ModelData(
-        rows=rows,
-        features=features,
-        profile=profile,
-        split_summary=split_summary(rows, ["split", "year"], "zcta5", CHANGE_ALIAS),
-        folds=fold_summary(in_train, "zcta5", "year", range(first_validation_year, train_years[1] + 1)),
-        kind_counts=value_counts(profile, "feature_kind"),
-        group_counts=value_counts(profile, "source_group"),
-    )
+    return ModelData(rows, features, profile, range(first_validation_year, train_years[1] + 1))
