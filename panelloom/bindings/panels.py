@@ -21,8 +21,9 @@ from panelloom.functions.scalars import (
 from panelloom.operators.aggregates import weighted_mean
 from panelloom.operators.joins import assemble_panel, attach_features, join_many_to_one, key_filter
 from panelloom.operators.quality import audit_counts, surplus_rows
-from panelloom.operators.rowsets import keep_by_priority
+from panelloom.operators.rowsets import keep_by_priority, union_missing
 from panelloom.plans.annual_panel import MonthlySpec, add_next_year_target, yearly_rollup
+from panelloom.session import materialize
 
 MONTHLY = MonthlySpec(
     entity="l_suppkey",
@@ -115,7 +116,8 @@ FROM annual"""
 
 
 def annual_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_annual(yearly_rollup(monthly_lines(spark, sf_dir), MONTHLY))
+    # Two passes read the monthly rows: the totals and the labels.
+    return _show_annual(yearly_rollup(materialize(monthly_lines(spark, sf_dir), "monthly-lines"), MONTHLY))
 
 
 def next_year_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,8 +287,6 @@ def priority_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from panelloom.operators.rowsets import union_missing
-
     orders = table(spark, sf_dir, "orders", "o_orderstatus", "o_totalprice")
     parts = table(spark, sf_dir, "part", "p_brand", "p_retailprice", "p_size")
     a = orders.groupBy(F.col("o_orderstatus").alias("model")).agg(
