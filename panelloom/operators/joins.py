@@ -8,12 +8,16 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.functions.scalars import known
 from panelloom.operators.quality import require_unique
 from panelloom.session import materialize
 
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+
+
 def match_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on ``keys`` in which a NULL key matches a NULL key."""
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -34,18 +38,17 @@ def checked_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with a check inside the plan that fails the job on a repeated key.
 
     The grouping partitions by ``keys``, which is what a following join on them needs, so
-    the check adds no exchange.
+    the check adds no exchange. Fixed-width columns keep it a hash aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
     text = F.concat(F.lit("duplicate join key: "), F.to_json(F.struct(*keys)))
     ok = F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
-    packed = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_pad"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.any_value(packed).alias("_row"))
-        .filter(ok)
-        .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
-    )
+    counted = df.groupBy(*keys)
+    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in rest):
+        row = counted.agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+        return row.filter(ok).drop("_n")
+    row = counted.agg(F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_row"))
+    return row.filter(ok).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
 def join_many_to_one(

@@ -94,6 +94,13 @@ def test_rollup_totals_use_a_hash_aggregate(spark):
     assert plan(yearly.drop("first_flag")).count("Exchange hashpartitioning") == 1
 
 
+def test_key_check_of_numbers_stays_a_hash_aggregate(spark):
+    numbers = spark.range(5).select(F.col("id").alias("k"), F.rand(1).alias("v"))
+    assert "SortAggregate" not in plan(joins.checked_unique(numbers, ["k"]))
+    texts = numbers.withColumn("t", F.col("k").cast("string"))
+    assert joins.checked_unique(texts, ["k"]).columns == ["k", "v", "t"]
+
+
 def test_split_filter_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).selectExpr("id AS z", "cast(2010 + id AS int) AS year", "id AS unused").write.parquet(path)

@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -59,6 +61,9 @@ def test_materialize_reads_what_it_wrote_and_releases(spark):
     df = session.materialize(spark.range(5).selectExpr("id", "id % 2 AS odd"), "probe")
     path = df.inputFiles()[0]
     assert df.count() == 5 and session.shared_dir(spark).rstrip("/") in path
+    local = pathlib.Path(path.removeprefix("file://"))
+    assert local.exists() and session.release(spark) >= 1 and not local.exists()
+    assert session.release(spark) == 0
 
 
 def test_shared_dir_must_be_named_on_a_cluster():
