@@ -26,7 +26,3 @@ def fx(sql: str, digits: int = 4) -> str:
 
 def whole(col: Column) -> Column:
     return col.cast("long")
-
-
-def year_of(column: str) -> Column:
-    return F.year(column)
