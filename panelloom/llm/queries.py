@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import quality_rules
+from panelloom.llm import packing, quality_rules, wavelet_ids
+from panelloom.session import shared_dir
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -55,5 +58,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
-QUERIES = {"op1_quality_rules": op1_quality_rules}
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file; the same on every machine that has the files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=1)
+
+
+def op4_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    wavelet_ids.write_token_shards(documents(spark, sf_dir), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return wavelet_ids.read_documents(spark, path, with_ids=False)
+
+
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
+    "op4_wavelet_ids": op4_wavelet_ids,
+}
 ORACLES = {"op1_quality_rules": OP1_SQL}
