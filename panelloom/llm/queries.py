@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import packing, quality_rules, wavelet_ids
+from panelloom.llm import decontaminate, packing, quality_rules, simhash_dedup, wavelet_ids
 from panelloom.session import shared_dir
 
 
@@ -76,9 +76,27 @@ def op4_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_ids.read_documents(spark, path, with_ids=False)
 
 
+def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = decontaminate.contamination(documents(spark, sf_dir), items)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.components(documents(spark, sf_dir), width=3, radius=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op4_wavelet_ids": op4_wavelet_ids,
+    "op7_suffix_automaton": op7_suffix_automaton,
+    "op8_covering_simhash": op8_covering_simhash,
 }
 ORACLES = {"op1_quality_rules": OP1_SQL}
