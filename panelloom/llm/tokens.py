@@ -1,6 +1,6 @@
 """Token ids of whole texts from a public tokenizer file, with the ids of frequent words remembered.
 
-A byte-pair encoder treats the words of a text independently once the text is cut at blanks, so the ids of a
+A byte-pair encoder treats the words of a text independently once the text is cut at spaces, so the ids of a
 text are the ids of its pieces one after another. :class:`Encoder` asks the library for each new piece once;
 texts for which the cut would not be exact go to the library whole.
 """
@@ -11,79 +11,121 @@ import os
 import re
 from collections.abc import Iterable
 
-#: A run of blanks belongs to the word after it, as in byte-level encoders; or blanks are dropped.
-_KEEP_BLANKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_DROP_BLANKS = re.compile(r"[^ \n]+")
-#: Where cutting at spaces and line ends is exact only if there are no other blanks.
-_OTHER_BLANKS = re.compile(r"[^\S \n]")
-#: A word of Latin letters followed by plain punctuation: encoders of both kinds cut between the two.
-_WORD_MARKS = re.compile(r"([ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@\[\]^_`{|}~\"-]+)")
+import numpy as np
+
+#: A word of Latin letters, and plain punctuation after it: encoders of both kinds cut between the two.
+_WORD_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@\[\]^_`{|}~\"-]*)").fullmatch
+#: Python splits at these, the library does not.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_WIDE_BLANKS = re.compile("[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]").search
 _LONGEST_KEPT = 64
+_TOGETHER = 200
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes; at most ``2 * remembered`` pieces are held."""
+    """Ids as little-endian unsigned 32-bit bytes; at most ``2 * remembered`` pieces are held.
+
+    Of the two kinds of file, one drops blanks and marks the last token of a word, the other counts a space to
+    the word after it. Pieces are words without their space; in the second kind each stands for the word
+    after a space, and the first of a text is asked for by itself.
+    """
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        self.keeps_blanks = self.tokenizer.normalizer is None
-        self.cut = (_KEEP_BLANKS if self.keeps_blanks else _DROP_BLANKS).findall
-        self.special = re.compile(
-            "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)", re.I
-        )
+        self.spaced = self.tokenizer.normalizer is None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t[0] == "Ġ" if self.spaced else t.endswith("</w>"))]] = True
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    def _ask(self, pieces: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _ask_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, many to a text; the tokens at a word's edge tell them apart."""
+        groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        out: list[bytes] = []
+        for group, blob in zip(groups, self._ask([("" if not self.spaced else " ") + " ".join(g) for g in groups]), strict=True):
+            edges = np.flatnonzero(self.edge[np.frombuffer(blob, "<u4")])
+            if len(edges) != len(group):
+                out += self._ask([" " + w if self.spaced else w for w in group])
+                continue
+            cuts = [*(4 * edges).tolist(), len(blob)] if self.spaced else [0, *(4 * edges + 4).tolist()]
+            out += [blob[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
+
     def _learn(self, pieces: Iterable[str]) -> None:
-        if len(self.known) > self.remembered:
-            self.known, self.before = {}, self.known
-        halves, wanted = {}, set()
+        known, before = self.known, self.before
+        halves, words, others = [], set(), set()
         for piece in pieces:
-            if (ids := self.before.get(piece)) is not None:
-                self.known[piece] = ids
-                continue
-            parts = m.groups() if (m := _WORD_MARKS.fullmatch(piece)) else (piece,)
-            if len(parts) > 1:
-                halves[piece] = parts
-            wanted.update(p for p in parts if p not in self.known)
-        wanted = list(wanted)
-        self.known.update(zip(wanted, self._ask(wanted), strict=True))
-        for piece, parts in halves.items():
-            self.known[piece] = b"".join([self.known[p] for p in parts])
+            if (ids := before.get(piece)) is not None:
+                known[piece] = ids
+            elif m := _WORD_MARKS(piece):
+                word, marks = m.groups()
+                if word not in known:
+                    if (ids := before.get(word)) is not None:
+                        known[word] = ids
+                    else:
+                        words.add(word)
+                if marks:
+                    halves.append((piece, word, marks))
+            else:
+                others.add(piece)
+        # Marks on a word never start with a space: kept apart from pieces by a sign no piece has.
+        marks = list({" " + m for _, _, m in halves}.difference(known))
+        known.update(zip(marks, self._ask([m[1:] for m in marks]), strict=True))
+        words = list(words)
+        known.update(zip(words, self._ask_words(words), strict=True))
+        others = list(others)
+        known.update(zip(others, self._ask([" " + p if self.spaced else p for p in others]), strict=True))
+        for piece, word, mark in halves:
+            known[piece] = known[word] + known[" " + mark]
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The words of a text; None if the cut would not be exact."""
+        if self.special(text) or any(c in text for c in _SEPARATORS):
+            return None
+        if not self.spaced:
+            return text.split()
+        # Two spaces in a row, and other blanks, belong together in ways a cut at each space would lose.
+        if "  " in text or any(c in text for c in "\t\r\x0b\x0c\x85\xa0") or not (text.isascii() or _plain(text)):
+            return None
+        return text.split(" ")
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text; none for a null or empty one."""
         if not text:
             return b""
-        if self.special.search(text) or (self.keeps_blanks and _OTHER_BLANKS.search(text)):
+        pieces = self._pieces(text)
+        if pieces is None:
             return self._ask([text])[0]
-        pieces = self.cut(text)
-        known = self.known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
-        new = {p for p in pieces if p not in known}
+        head = b""
+        if self.spaced:
+            head, pieces = self._ask([pieces[0]])[0] if pieces[0] else b"", pieces[1:]
+        if len(self.known) > self.remembered:
+            self.known, self.before = {}, self.known
+        new = set(pieces).difference(self.known)
         long = {p for p in new if len(p) > _LONGEST_KEPT}
         self._learn(new - long)
-        known = self.known  # what was learnt may have started a new set
-        apart = dict(zip(long, self._ask(list(long)), strict=True)) if long else {}
-        if any(p not in known and p not in apart for p in pieces):
-            self._learn({p for p in pieces if p not in known and p not in apart})
-            known = self.known
-        return b"".join([known[p] if p in known else apart[p] for p in pieces])
+        if not long:
+            return head + b"".join(map(self.known.__getitem__, pieces))
+        apart = dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True))
+        return head + b"".join([apart[p] if p in apart else self.known[p] for p in pieces])
+
+
+def _plain(text: str) -> bool:
+    """No blank beyond Latin-1."""
+    return not _WIDE_BLANKS(text)
 
 
 def encoder(path: str) -> Encoder:

@@ -47,10 +47,10 @@ class WaveletMatrix:
             counts = np.bitwise_count(words).reshape(-1, BLOCK // 64).sum(1, dtype=np.uint32)
             ranks.append(np.concatenate(([0], np.cumsum(counts))).astype("<u4").tobytes())
             ones = ones.view(bool)
-            high = ids[ones]
+            high = np.compress(ones, ids)
             zeros.append(len(ids) - len(high))
             planes.append(plane.tobytes())
-            ids = np.concatenate((ids[~ones], high))
+            ids = np.concatenate((np.compress(~ones, ids), high))
         return cls(len(ids), bits, zeros, planes, ranks)
 
     def _ones(self, level: int, i: int) -> int:
@@ -104,8 +104,8 @@ class WaveletMatrix:
             ones = np.unpackbits(self.planes[level], count=self.n)
             back = np.empty_like(out)
             mask = ones.view(bool)
-            back[mask] = out[self.zeros[level] :]
-            back[~mask] = out[: self.zeros[level]]
+            back[np.flatnonzero(mask)] = out[self.zeros[level] :]
+            back[np.flatnonzero(~mask)] = out[: self.zeros[level]]
             back |= ones.astype(out.dtype) << out.dtype.type(self.bits - 1 - level)
             out = back
         return out
