@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import decontaminate, packing, quality_rules, simhash_dedup, wavelet_ids
+from panelloom.llm import byte_cnn, decontaminate, nb_char, packing, quality_rules, secret_scan, simhash_dedup, wavelet_ids
 from panelloom.session import shared_dir
 
 
@@ -70,6 +70,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=1)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secret_scan.BASE)],
+        F.sha2(secret_scan.spans_text("base"), 256).alias("base_sha256"),
+        secret_scan.spans_text("spans").alias("spans"),
+    )
+
+
 def op4_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     wavelet_ids.write_token_shards(documents(spark, sf_dir), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
@@ -92,11 +102,23 @@ def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.languages(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+def op10_nb_char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return nb_char.toxicity(documents(spark, sf_dir), labels)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_secret_scan": op3_secret_scan,
     "op4_wavelet_ids": op4_wavelet_ids,
     "op7_suffix_automaton": op7_suffix_automaton,
     "op8_covering_simhash": op8_covering_simhash,
+    "op9_byte_cnn": op9_byte_cnn,
+    "op10_nb_char_ngrams": op10_nb_char_ngrams,
 }
 ORACLES = {"op1_quality_rules": OP1_SQL}
