@@ -21,7 +21,7 @@ from panelloom.llm.labelled import fold, sample
 
 SIZES = (3, 4, 5, 6)
 HASH_BITS = 20
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR = 0x9E3779B97F4A7C15
 _STEP = 1 << 18
 #: Bounds of the training sample.
 PER_CLASS = 2000
@@ -30,10 +30,9 @@ MAX_CHARS = 100_000
 
 def _grams(data: np.ndarray) -> Iterator[np.ndarray]:
     """Bucket of every n-gram of each size, of bytes already lower-cased."""
-    total, power = np.zeros(len(data), np.uint64), np.uint64(1)
+    total = np.zeros(len(data), np.uint64)
     for n in range(1, SIZES[-1] + 1):
-        power = power * _FACTOR
-        total = total[: len(data) - n + 1] + data[n - 1 :] * power
+        total = total[: max(0, len(data) - n + 1)] + data[n - 1 :] * np.uint64(pow(_FACTOR, n, 1 << 64))
         if not len(total):
             return
         if n in SIZES:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_cnn, decontaminate, nb_char, packing, quality_rules, secret_scan, simhash_dedup, wavelet_ids
+from panelloom.llm import byte_cnn, decontaminate, doubling_dedup, nb_char, packing, quality_rules, secret_scan, simhash_dedup, wavelet_ids
 from panelloom.session import shared_dir
 
 
@@ -86,6 +86,11 @@ def op4_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_ids.read_documents(spark, path, with_ids=False)
 
 
+def op5_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = doubling_dedup.remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contamination(documents(spark, sf_dir), items)
@@ -116,6 +121,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_secret_scan": op3_secret_scan,
     "op4_wavelet_ids": op4_wavelet_ids,
+    "op5_doubling_dedup": op5_doubling_dedup,
     "op7_suffix_automaton": op7_suffix_automaton,
     "op8_covering_simhash": op8_covering_simhash,
     "op9_byte_cnn": op9_byte_cnn,
