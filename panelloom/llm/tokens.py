@@ -41,6 +41,7 @@ class Encoder:
         self.spaced = self.tokenizer.normalizer is None
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        self.lower_first = self.tokenizer.normalizer is not None and "Lowercase" in str(self.tokenizer.normalizer)
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for t, i in vocabulary.items() if (t[0] == "Ġ" if self.spaced else t.endswith("</w>"))]] = True
@@ -96,7 +97,8 @@ class Encoder:
         if self.special(text) or any(c in text for c in _SEPARATORS):
             return None
         if not self.spaced:
-            return text.split()
+            # The file lower-cases; up to Latin-1 that is the same done here, and fewer pieces are new.
+            return (text.lower() if self.lower_first and _latin(text) else text).split()
         # Two spaces in a row, and other blanks, belong together in ways a cut at each space would lose.
         if "  " in text or any(c in text for c in "\t\r\x0b\x0c\x85\xa0") or not (text.isascii() or _plain(text)):
             return None
@@ -123,6 +125,16 @@ class Encoder:
         return head + b"".join([apart[p] if p in apart else self.known[p] for p in pieces])
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _plain(text: str) -> bool:
     """No blank beyond Latin-1."""
     return not _WIDE_BLANKS(text)

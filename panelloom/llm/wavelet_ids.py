@@ -40,13 +40,12 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         zeros, planes, ranks = [], [], []
         for b in range(bits - 1, -1, -1):
-            ones = (ids >> ids.dtype.type(b)).astype(np.uint8) & 1
+            ones = (ids & ids.dtype.type(1 << b)) != 0
             plane = np.packbits(ones)
             short = -len(plane) % (BLOCK // 8)
             words = np.pad(plane, (0, short)).view(np.uint64)
             counts = np.bitwise_count(words).reshape(-1, BLOCK // 64).sum(1, dtype=np.uint32)
             ranks.append(np.concatenate(([0], np.cumsum(counts))).astype("<u4").tobytes())
-            ones = ones.view(bool)
             high = np.compress(ones, ids)
             zeros.append(len(ids) - len(high))
             planes.append(plane.tobytes())
@@ -101,12 +100,10 @@ class WaveletMatrix:
         """All ids in their order, by undoing the splits from the lowest plane up."""
         out = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for level in range(self.bits - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n)
+            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             back = np.empty_like(out)
-            mask = ones.view(bool)
-            back[np.flatnonzero(mask)] = out[self.zeros[level] :]
-            back[np.flatnonzero(~mask)] = out[: self.zeros[level]]
-            back |= ones.astype(out.dtype) << out.dtype.type(self.bits - 1 - level)
+            back[np.flatnonzero(ones)] = out[self.zeros[level] :] | out.dtype.type(1 << (self.bits - 1 - level))
+            back[np.flatnonzero(~ones)] = out[: self.zeros[level]]
             out = back
         return out
 
