@@ -93,21 +93,23 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def windowed_min(hashes: np.ndarray, width: int) -> np.ndarray:
-    """For each run of ``width`` values the place of the smallest, the first of equals."""
-    places = np.arange(len(hashes))
+    """For each run of ``width`` values the place of the smallest by its high bits, the first of equals."""
+    bits = np.uint64(max(20, len(hashes).bit_length()))
+    best = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
-    best = places
     while span < width:  # minima of runs twice as long, the last step overlapping
         step = min(span, width - span)
-        a, b = best[:-step], best[step:]
-        best = np.where(hashes[b] < hashes[a], b, a)
+        best = np.minimum(best[:-step], best[step:])
         span += step
-    return best
+    return (best & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def pack(hashes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of ``hashes`` (distinct) by bucket, then value; and the edges of the buckets in that order."""
-    bucket = bucket_of(hashes, n_buckets)
+def pack(hashes: np.ndarray, n_buckets: int, route: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Order of ``hashes`` (distinct) by bucket, then value; and the edges of the buckets in that order.
+
+    The bucket is that of ``route``, another hash that goes with each, if given.
+    """
+    bucket = bucket_of(hashes if route is None else route, n_buckets)
     order = np.lexsort((hashes, bucket))
     return order, np.searchsorted(bucket[order], np.arange(n_buckets + 1))
 
@@ -116,9 +118,11 @@ def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
     return (mix(hashes ^ _ODD) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def answers_for(hashes: np.ndarray, replies: list[dict], n_buckets: int) -> np.ndarray:
+def answers_for(
+    hashes: np.ndarray, replies: list[dict], n_buckets: int, route: np.ndarray | None = None
+) -> np.ndarray:
     """One byte for each of the distinct ``hashes`` that were asked, in their order."""
-    order, edges = pack(hashes, n_buckets)
+    order, edges = pack(hashes, n_buckets, route)
     out = np.zeros(len(hashes), np.uint8)
     for r in replies:
         lo, hi = edges[r["bucket"]], edges[r["bucket"] + 1]
@@ -130,7 +134,7 @@ def ask(rows: DataFrame, question: Callable, answer: Callable, columns: dict[str
     """One round: ``(chunk, answers)`` for the chunk rows that asked something.
 
     ``question(row)`` gives distinct hashes and, for each of ``columns`` but the first, which is the hash as it
-    travels, a value per hash. ``answer(arrays, owners)`` sees the rows of one bucket as joined arrays, with
+    travels, a value per hash; and, if the hash itself does not choose the bucket, one that does. ``answer(arrays, owners)`` sees the rows of one bucket as joined arrays, with
     the asker of each entry as a number, and returns a byte per entry.
     """
     n_buckets, kinds = buckets_of(rows), list(columns.items())
@@ -138,8 +142,8 @@ def ask(rows: DataFrame, question: Callable, answer: Callable, columns: dict[str
     def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, values = question(row)
-                order, edges = pack(hashes, n_buckets)
+                hashes, values, *route = question(row)
+                order, edges = pack(hashes, n_buckets, *route)
                 arrays = [a[order].astype(d) for a, (_, d) in zip([hashes, *values], kinds, strict=True)]
                 full = np.flatnonzero(np.diff(edges))
                 cut = lambda a: [a[edges[b] : edges[b + 1]].tobytes() for b in full]  # noqa: B023, E731

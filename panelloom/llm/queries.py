@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import byte_cnn, decontaminate, doubling_dedup, nb_char, packing, quality_rules, secret_scan, simhash_dedup, wavelet_ids
+from panelloom.llm import byte_cnn, decontaminate, doubling_dedup, nb_char, packing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, wavelet_ids
 from panelloom.session import shared_dir
 
 
@@ -91,6 +91,11 @@ def op5_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contamination(documents(spark, sf_dir), items)
@@ -122,6 +127,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_wavelet_ids": op4_wavelet_ids,
     "op5_doubling_dedup": op5_doubling_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_suffix_automaton": op7_suffix_automaton,
     "op8_covering_simhash": op8_covering_simhash,
     "op9_byte_cnn": op9_byte_cnn,
