@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,8 +164,6 @@ def remove_passages(
 
     Columns are those of the input; a document without passages keeps its text as it was, null included.
     """
-    import pandas as pd
-
     found = find_passages(docs, items, window, text=text)
     long = F.filter("spans", lambda s: s["end"] - s["start"] >= min_words)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
