@@ -162,17 +162,30 @@ def suffix_order(text: np.ndarray, memory: int = 1 << 24) -> np.ndarray:
 def shared_prefix(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """For each suffix but the first, in order, whether it shares ``length`` symbols with the one before.
 
-    Symbols must be below 2 ** 16; four are compared at a time, and pairs drop out where they differ.
+    Common prefixes are carried from place to place: if the symbols before a suffix and its neighbour agree, it
+    shares one symbol less than the suffix a place earlier. Only the others are compared, four symbols (below
+    2 ** 16) at a time, and no further than the places they carry to need.
     """
-    a, b = order[:-1], order[1:]
-    same = np.flatnonzero(np.maximum(a, b) + length <= len(text))
-    wide = min(4, length)
-    padded = np.concatenate((text.astype(np.uint64), np.zeros(3, np.uint64)))
-    words = sum(padded[i : i + len(text)] << np.uint64(16 * i) for i in range(wide))
-    for at in [*range(0, length - wide + 1, wide), length - wide]:
-        if not len(same):
-            break
-        same = same[words[a[same] + at] == words[b[same] + at]]
-    out = np.zeros(max(0, len(order) - 1), bool)
-    out[same] = True
-    return out
+    n = len(text)
+    if n < 2:
+        return np.zeros(max(0, n - 1), bool)
+    before = np.full(n, -1)
+    before[order[1:]] = order[:-1]
+    own = np.ones(n, bool)
+    linked = before[1:] > 0
+    own[1:][linked] = text[:-1][linked] != text[before[1:][linked] - 1]
+    own[1:][before[1:] <= 0] = True
+    first = np.flatnonzero(own)
+    need = length + np.diff(np.append(first, n))
+    padded = np.concatenate((text.astype(np.uint64), np.zeros(4, np.uint64)))
+    words = sum(padded[i : i + n + 1] << np.uint64(16 * i) for i in range(4))
+    common, active = np.zeros(len(first), np.int64), np.flatnonzero(before[first] >= 0)
+    while len(active):
+        at, other = first[active] + common[active], before[first[active]] + common[active]
+        differ = words[at] ^ words[other]  # one reaches the zeros after the end before the other
+        low = differ & (~differ + np.uint64(1))
+        common[active] += np.where(differ == 0, 4, (np.bitwise_count(low - np.uint64(1)) // 16).astype(np.int64))
+        active = active[(differ == 0) & (common[active] < need[active])]
+    which = np.cumsum(own) - 1
+    enough = common[which] - (np.arange(n) - first[which]) >= length
+    return enough[order[1:]]

@@ -49,10 +49,11 @@ class Bytes:
         np.add.at(valid, self.ends[long] - length + 1, -1)
         self.full = np.flatnonzero(np.cumsum(valid[:-1]))
         self.sums = C.prefix_hashes(self.data.astype(np.uint64) + np.uint64(1))
-        n = len(self.data) - anchor + 1
         if len(self.full):
-            places = np.arange(n)
-            hashes = C.range_hashes(self.sums, places, places + anchor)
+            hashes = self.sums[anchor:] - self.sums[:-anchor]
+            hashes *= C.powers(len(self.sums), True)[: len(hashes)]
+            hashes ^= hashes >> np.uint64(32)
+            hashes *= np.uint64(0xD6E8FEB86659FD93)
             self.anchor = C.windowed_min(hashes, length - anchor + 1)[self.full]
             self.anchors = np.unique(self.anchor)
             self.anchor_hash = hashes[self.anchors]
