@@ -13,14 +13,14 @@ import time
 from pyspark.sql import SparkSession
 
 from panelloom.bindings import QUERIES
-from panelloom.session import configure
+from panelloom.session import configure, intermediates
 
 HEADLINE = [
     "annual_rollup", "next_year_target", "weighted_mean_fallback", "valid_key_semi_join", "pad_key_left_join",
     "share_family", "dominant_bridge", "area_weighted_rate", "zscore_in_group", "pct_rank_in_group",
     "group_quantiles", "event_rate_per_1k", "category_pivot", "panel_assembly", "temporal_split_summary",
     "cv_fold_summary", "column_profile", "corr_pairs", "corr_audit", "error_summary_by_model",
-    "fit_metrics_by_model", "best_worst_examples", "ridge_fit_predict",
+    "fit_metrics_by_model", "best_worst_examples", "ridge_fit_predict", "text_round_trip", "category_totals_long",
 ]
 
 
@@ -43,7 +43,8 @@ def main() -> None:
     for name in names:
         for _ in range(2):
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with intermediates(spark):
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(

@@ -1,6 +1,6 @@
 """The operators bound to the driver's tables, each with its SQL counterpart."""
 
-from panelloom.bindings import features, modelling, panels, selection
+from panelloom.bindings import features, modelling, panels, selection, texts
 
-QUERIES = {**panels.QUERIES, **features.QUERIES, **selection.QUERIES, **modelling.QUERIES}
-ORACLES = {**panels.ORACLES, **features.ORACLES, **selection.ORACLES, **modelling.ORACLES}
+QUERIES = {**panels.QUERIES, **features.QUERIES, **selection.QUERIES, **modelling.QUERIES, **texts.QUERIES}
+ORACLES = {**panels.ORACLES, **features.ORACLES, **selection.ORACLES, **modelling.ORACLES, **texts.ORACLES}

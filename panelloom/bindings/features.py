@@ -10,7 +10,7 @@ from panelloom.functions.scalars import log1p, log_positive, positive, safe_divi
 from panelloom.operators.groups import share_of_group, zscore
 from panelloom.operators.joins import expand_periods, join_many_to_one
 from panelloom.operators.ordering import exact_quantiles, percent_rank_average
-from panelloom.operators.pivoting import add_rates, category_count, category_sums, category_values
+from panelloom.operators.pivoting import add_rates, category_count, category_sums, category_totals
 from panelloom.plans.category_pivot import build_category_pivot_features
 from panelloom.plans.event_rates import add_rates_and_logs, area_totals
 from panelloom.plans.rate_schedule import (
@@ -283,7 +283,7 @@ def category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value").select(
         "user_id", whole(F.dayofmonth("ts")).alias("day"), "event_type", "value"
     )
-    values = category_values(events, "event_type")
+    values = EVENT_TYPES
     wide = events.groupBy("user_id", "day").agg(
         F.sum("value").alias("est_total"),
         category_count("event_type", values).alias("type_count"),
@@ -297,6 +297,15 @@ def category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def category_totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long form: a row per user, day and category present, with the share of the day's rows."""
+    events = table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value").select(
+        "user_id", whole(F.dayofmonth("ts")).alias("day"), "event_type", "value"
+    )
+    long = category_totals(events, ["user_id", "day"], "event_type", "value")
+    return long.select("user_id", "day", "event_type", fixed(F.col("total")).alias("total"))
+
+
 def category_pivot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole category job on events: user as area, month as period."""
     events = table(spark, sf_dir, "events", "ts", "user_id", "event_type", "value")
@@ -317,7 +326,7 @@ def category_pivot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     population = events.filter(F.col("event_type") == "purchase").groupBy(
         F.lpad(F.col("user_id").cast("string"), 5, "0").alias("zcta5"), F.year("ts").alias("year")
     ).agg(F.sum("value").alias("total_population"))
-    _, features = build_category_pivot_features(raw, population)
+    _, features = build_category_pivot_features(raw, population, [f"{t}_and_co" for t in EVENT_TYPES])
     shown = [c for c in features.columns if c.startswith(("amenity_est_", "amenity_emp_", "amenity_per_10k_"))]
     return features.select(
         "zcta5", whole(F.col("year")).alias("year"), whole(F.col("amenity_source_rows")).alias("n_rows"),
@@ -373,6 +382,7 @@ def merged_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "category_totals_long": category_totals_long,
     "share_family": share_family,
     "dominant_bridge": dominant_bridge,
     "state_schedule_backfill": state_schedule_backfill,
@@ -414,6 +424,9 @@ _SCORED = ["avg_pct_met_ela", "avg_pct_met_math", "avg_pct_met_overall", "median
 _GROUP = "assessment_type, year"
 
 ORACLES = {
+    "category_totals_long": f"""
+SELECT user_id, day(ts)::BIGINT AS day, event_type, {fx("coalesce(sum(value), 0)")} AS total
+FROM events WHERE event_type IS NOT NULL GROUP BY ALL""",
     "share_family": f"""
 WITH b AS (
   SELECT p_brand, p_type, sum(p_retailprice) AS total,

@@ -193,12 +193,12 @@ def _ridge(spark: SparkSession, sf_dir: str, alpha: float = 10.0):
     train, test = _train_test(spark, sf_dir)
     pre = fit_preprocessor(train, NUMERIC, BOOLEAN, CATEGORICAL)
     encoded = materialize(pre.transform(train).select("log_change", "features"), "encoded")
-    return pre, encoded, test, fit_ridge(encoded, "log_change", alpha, len(pre.terms))
+    return pre, encoded, test, fit_ridge(encoded, "log_change", alpha)
 
 
 def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     pre, encoded, _, model = _ridge(spark, sf_dir)
-    plain = fit_ridge(encoded, "log_change", 0.0, len(pre.terms))
+    plain = fit_ridge(encoded, "log_change", 0.0)
     return coefficient_rollup({"ridge": (model, pre), "ols": (plain, pre)}, encoded)
 
 
@@ -217,7 +217,7 @@ def one_feature_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_test(spark, sf_dir)
     pre = fit_preprocessor(train, ["log_price"])
     encoded = materialize(pre.transform(train).select("log_change", "features"), "encoded")
-    models = {name: (fit_ridge(encoded, "log_change", a, 1), pre) for name, a in (("ols", 0.0), ("ridge", 25.0))}
+    models = {name: (fit_ridge(encoded, "log_change", a), pre) for name, a in (("ols", 0.0), ("ridge", 25.0))}
     out = coefficient_rollup(models, encoded)
     return out.select(
         "model", "feature", fixed(F.col("max_abs_coefficient"), 6).alias("max_abs_coefficient"),

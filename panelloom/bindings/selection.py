@@ -134,7 +134,7 @@ def selection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def selected_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_kind = grouped_names(_judged(spark, sf_dir).filter("selected"), "preprocessing_kind")
+    by_kind = grouped_names(_judged(spark, sf_dir).filter("selected"), "preprocessing_kind", order=["source_group"])
     return by_kind.select("preprocessing_kind", F.array_join("features", ",").alias("features"))
 
 
@@ -379,18 +379,18 @@ FROM judged""",
     "selection_summary": f"""WITH {_JUDGED_SQL}
 SELECT source_group, exclusion_reason = '' AS selected, count(*) AS features FROM judged GROUP BY 1, 2""",
     "selected_by_kind": f"""WITH {_JUDGED_SQL}
-SELECT preprocessing_kind, string_agg(feature, ',' ORDER BY feature) AS features
+SELECT preprocessing_kind, string_agg(feature, ',' ORDER BY source_group, feature) AS features
 FROM judged WHERE exclusion_reason = '' GROUP BY 1""",
     "named_feature_sets": f"""WITH p AS ({_profile_sql(_RULE_NAMES)}),
 g AS (SELECT feature, {_GROUPS_SQL} AS source_group FROM p WHERE feature NOT IN ('year', 'phase2_has_minimum_wage')),
 m AS (
-  SELECT 'all_selected_features' AS feature_set, feature FROM g
-  UNION ALL SELECT 'baseline_features', feature FROM g WHERE source_group IN ('listings', 'demographics')
-  UNION ALL SELECT 'phase2_features', feature FROM g
-  UNION ALL SELECT 'neighborhood_features', feature FROM g WHERE source_group = 'crime'
-  UNION ALL SELECT 'policy_features', feature FROM g WHERE source_group = 'minimum_wage'
-  UNION ALL SELECT 'crime_features', feature FROM g WHERE source_group = 'crime')
-SELECT feature_set, string_agg(feature, ',' ORDER BY feature) AS features FROM m GROUP BY 1""",
+  SELECT 'all_selected_features' AS feature_set, feature, source_group FROM g
+  UNION ALL SELECT 'baseline_features', feature, source_group FROM g WHERE source_group IN ('listings', 'demographics')
+  UNION ALL SELECT 'phase2_features', feature, source_group FROM g
+  UNION ALL SELECT 'neighborhood_features', feature, source_group FROM g WHERE source_group = 'crime'
+  UNION ALL SELECT 'policy_features', feature, source_group FROM g WHERE source_group = 'minimum_wage'
+  UNION ALL SELECT 'crime_features', feature, source_group FROM g WHERE source_group = 'crime')
+SELECT feature_set, string_agg(feature, ',' ORDER BY source_group, feature) AS features FROM m GROUP BY 1""",
     "corr_pairs": f"""
 WITH x AS (SELECT nullif(l_quantity, 1) AS l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, l_tax,
                   l_linenumber, (l_returnflag = 'R')::INT AS returned FROM lineitem),

@@ -18,24 +18,22 @@ from panelloom.models.preprocessing import FEATURES, Preprocessor
 from panelloom.operators.ordering import running_weight
 from panelloom.session import materialize
 
-# The normal-equation solver keeps a (p x p) matrix on the driver and stops at 4096 columns.
-_MAX_NORMAL = 4096
 
-
-def fit_ridge(encoded: DataFrame, label: str, alpha: float, width: int) -> LinearRegressionModel:
+def fit_ridge(encoded: DataFrame, label: str, alpha: float, solver: str = "normal") -> LinearRegressionModel:
     """Least squares with penalty ``alpha * |w|^2`` and a free intercept; ``alpha=0`` is plain OLS.
 
     MLlib divides the loss by the row count and scales the label, so the penalty is
     expressed in those units; the two solvers scale by different label deviations. The
     tight tolerance is for the iterative solver, which also steps in when a column is
-    constant.
+    constant. ``solver`` is ``normal``, which keeps a matrix of the encoded columns on the
+    driver and takes at most 4096 of them, or ``l-bfgs``; both give the same fit.
     """
-    normal = width <= _MAX_NORMAL
+    normal = solver == "normal"
     spread = F.stddev_pop(label) if normal else F.stddev_samp(label)
     n, sd = encoded.agg(F.count(label), spread).first()
     return LinearRegression(
         featuresCol=FEATURES, labelCol=label, elasticNetParam=0.0, standardization=False,
-        solver="normal" if normal else "l-bfgs", regParam=alpha / n * (sd or 1.0),
+        solver=solver, regParam=alpha / n * (sd or 1.0),
         tol=1e-12, maxIter=1000,
     ).fit(encoded)
 

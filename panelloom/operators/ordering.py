@@ -1,10 +1,9 @@
 """Exact order statistics inside groups of any size.
 
 A window over a whole group runs in one task, and the built-in exact percentile keeps a
-group's values in one buffer. Neither is used on data of unknown size. A table that was
-counted and is small takes the plain window; a larger one is cut into value ranges: rows
-are range-partitioned by (group, value), every range counts its own weight, and a running
-sum over the ranges gives each range its starting position.
+group's values in one buffer. Neither is used. Tables are cut into value ranges: rows are
+range-partitioned by (group, value), every range counts its own weight, and a running sum
+over the ranges gives each range its starting position.
 """
 
 from __future__ import annotations
@@ -21,9 +20,6 @@ from panelloom.session import materialize
 
 _SLICE, _BASE, _INNER = "_slice", "_base", "_inner"
 
-# A group of this many narrow rows sorts comfortably in one task.
-ONE_TASK_ROWS = 2_000_000
-
 # The quantile sketch is off by at most 1 / _SKETCH of the rows; brackets are wider than that.
 _SKETCH = 10_000
 _MARGIN = 5 / _SKETCH
@@ -35,27 +31,22 @@ def _before(group: Sequence[str], order: Sequence[Column]):
 
 def running_weight(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str,
-    stored: bool = False, one_task_rows: int = ONE_TASK_ROWS,
+    stored: bool = False, ranges: int | None = None,
 ) -> DataFrame:
     """Add ``below`` (weight of earlier rows of the group) and ``total`` (weight of the group).
 
     Rows equal on ``order`` share a range, so make the order total or aggregate equal rows
     into one weighted row beforehand. ``stored`` says that ``df`` is already a written table.
+    ``ranges`` is how many value ranges to cut; left out, the session's partitions are, which
+    adaptive execution merges where they are small.
     """
     group = list(group)
     if not stored:
         df = materialize(df, "weights")
     none = F.lit(0).cast("long")
-    if df.count() <= one_task_rows:
-        return df.withColumns(
-            {
-                "below": F.coalesce(F.sum(weight).over(_before(group, order)), none),
-                "total": F.sum(weight).over(Window.partitionBy(*group)),
-            }
-        )
     # The range number is only meaningful for this one placement, so it is written down.
     placed = materialize(
-        df.repartitionByRange(*[F.col(c) for c in group], *order).withColumn(_SLICE, F.spark_partition_id()),
+        df.repartitionByRange(*([ranges] if ranges else []), *[F.col(c) for c in group], *order).withColumn(_SLICE, F.spark_partition_id()),
         "ranges",
     )
     # Ranges are contiguous, so only a group cut by a range border lies in several of them:
@@ -68,7 +59,7 @@ def running_weight(
             *group,
             _SLICE,
             F.sum("_w").over(_before(group, [F.col(_SLICE)])).alias(_BASE),
-            F.sum("_w").over(whole).alias("_all"),
+            F.sum("_w").over(whole).alias("_group_weight"),
             F.count("*").over(whole).alias("_parts"),
         )
         .filter("_parts > 1")
@@ -84,8 +75,8 @@ def running_weight(
     return (
         match_nulls(counted, materialize(cut, "cut-groups"), own)
         .withColumn("below", F.coalesce(F.col(_BASE), none) + F.col(_INNER))
-        .withColumn("total", F.coalesce("_all", "_own"))
-        .drop(_SLICE, _BASE, _INNER, "_all", "_own")
+        .withColumn("total", F.coalesce("_group_weight", "_own"))
+        .drop(_SLICE, _BASE, _INNER, "_group_weight", "_own")
     )
 
 
@@ -138,7 +129,7 @@ def exact_quantiles(
     """
     group = list(group)
     if not group:
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, quantiles).drop("_all")
+        return exact_quantiles(df.withColumn("_everything", F.lit(0)), ["_everything"], value, quantiles).drop("_everything")
     known = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     points = [p for q in quantiles.values() for p in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
     brackets = materialize(

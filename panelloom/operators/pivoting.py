@@ -11,12 +11,10 @@ from panelloom.functions.scalars import rate_per
 from panelloom.operators.aggregates import sum_or_zero
 
 
-def category_values(df: DataFrame, category: str, limit: int = 2000) -> list[str]:
-    """The categories present, sorted; each becomes a column, so too many is an error."""
-    found = [r[0] for r in df.select(category).filter(F.col(category).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{category} has over {limit} values; it cannot become columns")
-    return sorted(found)
+def category_totals(df: DataFrame, keys: Sequence[str], category: str, value: str, name: str = "total") -> DataFrame:
+    """The long form of a pivot: one row per key and category present, whatever their number."""
+    known = df.filter(F.col(category).isNotNull())
+    return known.groupBy(*keys, category).agg(sum_or_zero(F.col(value)).alias(name))
 
 
 def category_sums(category: str, value: str, values: Sequence[str], prefix: str) -> list[Column]:

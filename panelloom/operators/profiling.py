@@ -140,6 +140,7 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("features"))
 
 
-def grouped_names(df: DataFrame, by: str, name: str = "feature") -> DataFrame:
-    """Sorted list of names per group of a profile."""
-    return df.groupBy(by).agg(F.sort_array(F.collect_list(name)).alias("features"))
+def grouped_names(df: DataFrame, by: str, name: str = "feature", order: Sequence[str] = ()) -> DataFrame:
+    """List of names per group of a profile, by the ``order`` columns, then by name."""
+    keyed = F.sort_array(F.collect_list(F.struct(*order, F.col(name).alias("_name"))))
+    return df.groupBy(by).agg(keyed.alias("_rows")).select(by, F.col("_rows._name").alias("features"))

@@ -11,7 +11,7 @@ from panelloom.functions.keys import category_label, pad_key, strip
 from panelloom.functions.scalars import number_of, strict_int, sum_zero
 from panelloom.operators.aggregates import sum_or_zero
 from panelloom.operators.joins import join_many_to_one
-from panelloom.operators.pivoting import add_rates, category_count, category_sums, category_values
+from panelloom.operators.pivoting import add_rates, category_count, category_sums
 from panelloom.session import materialize
 
 # Size-bucket columns and the labels with a set name.
@@ -49,14 +49,15 @@ def clean_categories(raw: DataFrame) -> DataFrame:
 
 
 def category_features(
-    clean: DataFrame, population: DataFrame | None, categories: Sequence[str] | None = None
+    clean: DataFrame, population: DataFrame | None, categories: Sequence[str]
 ) -> DataFrame:
     """Totals, one column per category and bucket, and rates when a population is given.
 
-    Totals, pivot and buckets share the key, so they are one aggregate. ``categories`` must
-    list every category; left out, they are read from the data.
+    Totals, pivot and buckets share the key, so they are one aggregate. ``categories`` lists
+    every category, as they are columns of the result; for an open set take the long form,
+    ``pivoting.category_totals``.
     """
-    values = category_values(clean, "amenity_type") if categories is None else list(categories)
+    values = list(categories)
     wide = clean.dropna(subset=["zcta5", "year"]).groupBy("zcta5", "year").agg(
         F.sum("amenity_source_rows").alias("amenity_source_rows"),
         category_count("amenity_type", values).alias("amenity_type_count"),
@@ -76,7 +77,9 @@ def category_features(
     return add_rates(joined, "amenity_est_", "amenity_per_10k_", "amenities_population_for_rate", 10_000.0)
 
 
-def build_category_pivot_features(raw: DataFrame, population: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """The cleaned table and the feature table."""
+def build_category_pivot_features(
+    raw: DataFrame, population: DataFrame | None, categories: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned table and the feature table, with a column for each of ``categories`` (cleaned names)."""
     clean = materialize(clean_categories(raw), "categories-clean")
-    return clean, category_features(clean, population)
+    return clean, category_features(clean, population, categories)

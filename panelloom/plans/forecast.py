@@ -29,7 +29,7 @@ Fit = Callable[[DataFrame, str, int], Any]
 
 
 def ridge(alpha: float = RIDGE_ALPHA) -> Fit:
-    return lambda encoded, label, width: fit_ridge(encoded, label, alpha, width)
+    return lambda encoded, label, width: fit_ridge(encoded, label, alpha)
 
 
 def forest(**options: Any) -> Fit:

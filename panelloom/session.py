@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +32,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the session names, or a local one in local mode only."""
+    """Folder for intermediate tables: the one the session names in ``spark.checkpoint.dir``.
+
+    Only where driver and tasks are one process may it be left out; then it is a temporary one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="panelloom-"))
 
@@ -66,3 +71,12 @@ def release(spark: SparkSession) -> int:
         target = hadoop.Path(path)
         target.getFileSystem(conf).delete(target, True)
     return len(paths)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[SparkSession]:
+    """Deletes, at the end of the block, the intermediate tables written since the session began."""
+    try:
+        yield spark
+    finally:
+        release(spark)

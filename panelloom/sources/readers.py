@@ -13,17 +13,27 @@ from panelloom.functions.scalars import missing_to_null, strict_int
 
 
 def read_text_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ","
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",", multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited file with a header, every column text; missing-value texts become NULL."""
-    df = spark.read.option("header", True).option("sep", sep).csv(path)
-    return df.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in columns or df.columns])
+    """Delimited files with a header, every column text; missing-value texts become NULL.
+
+    A quote inside a quoted cell is doubled. A row with too many or too few cells, or a file whose header
+    differs from the first file's, is an error. ``multi_line`` allows line breaks inside quotes; such a file
+    cannot be split, so one task reads it whole.
+    """
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns  # reads the first line only
+    cells = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = spark.read.schema(cells).options(**options, mode="FAILFAST", enforceSchema=False, columnPruning=False).csv(path)
+    return df.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in columns or header])
 
 
-def read_typed_table(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:
+def read_typed_table(
+    spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
     """Delimited file with a header read under a declared schema; text that does not fit is an error."""
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = read_text_table(spark, path, wanted.fieldNames(), sep)
+    text = read_text_table(spark, path, wanted.fieldNames(), sep, multi_line)
     return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 

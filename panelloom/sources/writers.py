@@ -13,13 +13,16 @@ def write_table(
 ) -> None:
     """Write a table, optionally partitioned by low-cardinality columns such as the year.
 
-    ``sort_by`` range-partitions the rows, so the files are in total order.
+    ``sort_by`` range-partitions the rows, so the files are in total order. In delimited text quotes are
+    doubled and blanks kept; NULL is an empty cell and the empty text a pair of quotes.
     """
     if sort_by:
         df = df.orderBy(*sort_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

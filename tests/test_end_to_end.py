@@ -16,6 +16,8 @@ from panelloom.plans.select_features import select_features
 from panelloom.session import materialize
 from panelloom.sources.readers import key_rows
 
+AMENITIES = ["coffee_shops", "fitness", "parks", "restaurants"]
+
 
 @pytest.fixture(scope="module")
 def model_data(spark):
@@ -28,7 +30,7 @@ def model_data(spark):
         "school_quality": build_relative_scores(raw["school"], key_rows(people, ["zcta5", "year"]))[1],
         "minimum_wage": build_rate_schedule_features(raw["wage"], raw["bridge"])["features"],
         "crime": build_event_rate_features(raw["crime"])[1],
-        "amenities": build_category_pivot_features(raw["amenities"], people)[1],
+        "amenities": build_category_pivot_features(raw["amenities"], people, AMENITIES)[1],
     }
     panel = materialize(build_panel(listings, sources), "panel")
     assert panel.count() == 12 * 12  # one row per area and year, the last year has no target

@@ -247,7 +247,7 @@ def test_category_pivot(spark, rows):
         [amenity("1", "Resturants", 4, emp_1_4=3), amenity("1", " Restaurants ", 6, emp_5_9=6), amenity("1", "Bars & Pubs", "x"), amenity("2", "Park", 5)],
     )
     people = spark.createDataFrame([("00001", 2015, 2000.0)], "zcta5 string, year int, total_population double")
-    _, features = build_category_pivot_features(raw, people)
+    _, features = build_category_pivot_features(raw, people, ["bars_and_pubs", "parks", "restaurants"])
     f = {r["zcta5"]: r for r in rows(features)}
     one, two = f["00001"], f["00002"]
     assert one["amenity_est_restaurants"] == 10.0 and one["amenity_est_parks"] == 0.0 and one["amenity_est_total"] == 10.0
@@ -256,6 +256,6 @@ def test_category_pivot(spark, rows):
     assert one["amenity_est_bucket_gap"] == 1.0 and one["amenity_per_10k_bucket_gap"] == 5.0
     assert one["amenity_est_bars_and_pubs"] == 0.0 and one["amenity_emp_1_4"] == 3.0
     assert two["amenity_per_10k_parks"] is None and two["amenities_population_for_rate"] is None
-    _, bare = build_category_pivot_features(raw, None)
+    _, bare = build_category_pivot_features(raw, None, ["parks"])
     assert not [c for c in bare.columns if c.startswith("amenity_per_10k_")]
     assert bare.filter(F.col("amenities_population_for_rate").isNotNull()).count() == 0

@@ -54,7 +54,7 @@ def _design(train, other):
 def test_ridge_matches_closed_form(frame, data):
     alpha = 13.4
     pre = fit_preprocessor(frame, NUMERIC, BOOLEAN, CATEGORICAL)
-    model = fit_ridge(pre.transform(frame), "y", alpha, len(pre.terms))
+    model = fit_ridge(pre.transform(frame), "y", alpha)
     x, y = _design(data, data), data["y"].to_numpy()
     centered = x - x.mean(axis=0)
     want = np.linalg.solve(centered.T @ centered + alpha * np.eye(x.shape[1]), centered.T @ (y - y.mean()))
@@ -86,7 +86,7 @@ def test_medians_and_modes(spark):
 
 def test_coefficient_rollup(frame, rows):
     pre = fit_preprocessor(frame, NUMERIC, BOOLEAN, CATEGORICAL)
-    model = fit_ridge(pre.transform(frame), "y", 1.0, len(pre.terms))
+    model = fit_ridge(pre.transform(frame), "y", 1.0)
     out = {r["feature"]: r for r in rows(coefficient_rollup({"m": (model, pre)}, frame))}
     w = np.abs(model.coefficients.toArray())
     assert out["kind"]["coefficient_terms"] == 3
@@ -101,7 +101,7 @@ def test_dense_numbers(frame):
 
 def test_permutation_importance_ranks_the_signal(frame, rows):
     pre = fit_preprocessor(frame, NUMERIC, BOOLEAN, CATEGORICAL)
-    model = fit_ridge(pre.transform(frame), "y", 1.0, len(pre.terms))
+    model = fit_ridge(pre.transform(frame), "y", 1.0)
     out = {r["feature"]: r for r in rows(permutation_importance(model, pre, frame, "y", ["id"], repeats=2))}
     assert set(out) == set(pre.sources)
     assert out["const"]["importance_mean_log_mae"] == pytest.approx(0.0, abs=1e-12)

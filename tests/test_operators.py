@@ -87,10 +87,11 @@ def test_shares_sum_to_one(spark):
 
 def test_category_columns(spark, rows):
     df = spark.createDataFrame([("k", "a", 1.0), ("k", "b", None), ("j", "c", 2.0)], "k string, t string, v double")
-    values = pivoting.category_values(df, "t")
-    assert values == ["a", "b", "c"]
-    with pytest.raises(ValueError, match="over 2"):
-        pivoting.category_values(df, "t", limit=2)
+    values = ["a", "b", "c"]
+    long = pivoting.category_totals(df, ["k"], "t", "v")
+    assert rows(long, "k", "t") == [
+        {"k": "j", "t": "c", "total": 2.0}, {"k": "k", "t": "a", "total": 1.0}, {"k": "k", "t": "b", "total": 0.0}
+    ]
     out = df.groupBy("k").agg(
         pivoting.category_count("t", values).alias("n"), *pivoting.category_sums("t", "v", values, "est_")
     )

@@ -30,21 +30,21 @@ def _spark(spark, sample):
     return spark.createDataFrame(sample, "id long, g string, v double").repartition(6)
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_percent_rank_matches_average_rank(spark, sample, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 5])
+def test_percent_rank_matches_average_rank(spark, sample, ranges):
     pdf = _pandas(sample)
     want = pdf.groupby("g", dropna=False)["v"].rank(pct=True, method="average")
-    got = percent_rank_average(_spark(spark, sample), ["g"], {"v": "p"}, one_task_rows=limit).toPandas()
+    got = percent_rank_average(_spark(spark, sample), ["g"], {"v": "p"}, ranges=ranges).toPandas()
     got = got.sort_values("id")["p"].to_numpy(dtype=float)
     np.testing.assert_allclose(got, want.to_numpy(), rtol=1e-12)
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_number_rows_descending_with_tie_break(spark, sample, limit):
+@pytest.mark.parametrize("ranges", [None, 1, 5])
+def test_number_rows_descending_with_tie_break(spark, sample, ranges):
     pdf = _pandas(sample).sort_values(["v", "id"], ascending=[False, True], na_position="last")
     want = (pdf.groupby("g", dropna=False).cumcount() + 1).sort_index()
     order = [F.col("v").desc_nulls_last(), F.col("id")]
-    got = number_rows(_spark(spark, sample), ["g"], order, "at", one_task_rows=limit).toPandas()
+    got = number_rows(_spark(spark, sample), ["g"], order, "at", ranges=ranges).toPandas()
     assert got.sort_values("id")["at"].tolist() == want.tolist()
 
 
@@ -53,7 +53,7 @@ def test_ranges_of_one_hot_group(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(0, 5000).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 5003).alias("v"))
-        placed = running_weight(df.withColumn("w", F.lit(2)), ["g"], [F.col("v")], "w", one_task_rows=0)
+        placed = running_weight(df.withColumn("w", F.lit(2)), ["g"], [F.col("v")], "w")
         got = placed.toPandas().sort_values("v")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -47,7 +47,7 @@ def test_selected_rows_come_first(spark):
     counts = {(r["source_group"], r["selected"]): r["features"] for r in value_counts(schema, "source_group", "selected").collect()}
     assert counts == {("demographics", True): 2, ("listings", True): 1, ("time", False): 1}
     sets = {r[0]: r[1] for r in feature_sets(schema).collect()}
-    assert sets["baseline_features"] == ["age_0_17_share", "annual_median_dom", "male_share"] and "crime_features" not in sets
+    assert sets["baseline_features"] == ["age_0_17_share", "male_share", "annual_median_dom"] and "crime_features" not in sets
     reasons = {r[0]: r[1] for r in grouped_names(schema.filter("not selected"), "exclusion_reason").collect()}
     assert list(reasons.values()) == [["year"]]
 

@@ -1,6 +1,7 @@
 import pathlib
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from panelloom import session
@@ -79,3 +80,23 @@ def test_shared_dir_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_quotes_line_breaks_and_blanks_survive(spark, tmp_path, rows):
+    odd = [(1, 'a ""b"", c', " x "), (2, "line\nbreak, \"q\"", None), (3, "back\\slash", "")]
+    df = spark.createDataFrame(odd, "k int, a string, b string")
+    writers.write_table(df, str(tmp_path / "odd"), fmt="csv")
+    got = rows(readers.read_text_table(spark, str(tmp_path / "odd"), multi_line=True), "k")
+    assert [(int(r["k"]), r["a"]) for r in got] == [(k, a) for k, a, _ in odd]
+    assert [r["b"] for r in got] == [" x ", None, None]
+
+
+def test_other_header_or_cell_count_fails(spark, tmp_path):
+    (tmp_path / "swapped").mkdir()
+    (tmp_path / "swapped" / "1.csv").write_text("zip,v\n10,1\n")
+    (tmp_path / "swapped" / "2.csv").write_text("v,zip\n2,20\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_text_table(spark, str(tmp_path / "swapped"), ["zip"]).collect()
+    (tmp_path / "surplus.csv").write_text("zip,v\n10,1,7\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_text_table(spark, str(tmp_path / "surplus.csv"), ["zip"]).collect()
