@@ -20,7 +20,7 @@ from panelloom.operators.evaluation import (
 )
 from panelloom.operators.groups import with_group_values
 from panelloom.operators.joins import next_period
-from panelloom.operators.rowsets import best_and_worst, top_rows, union_same
+from panelloom.operators.rowsets import best_and_worst, top_rows
 from panelloom.plans.forecast import Target, boosted, evaluate_holdout, fit_and_score, forest, ridge
 from panelloom.session import materialize
 
@@ -37,15 +37,13 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     both = with_group_values(orders, ["o_custkey"], {"by_customer": F.avg("o_totalprice")})
     both = with_group_values(both, ["o_orderpriority"], {"by_priority": F.avg("o_totalprice")})
-    return union_same(
-        *[
-            both.select(
-                "o_orderkey", F.lit(name).alias("model"), (F.col("o_totalprice") / 2 + 50_000.0).alias("current"),
-                actual.alias("actual"), F.col(name).alias("predicted"),
-            )
-            for name in ("by_customer", "by_priority")
-        ]
+    # Both models in one pass over the joined orders.
+    forecasts = F.array(
+        *[F.struct(F.lit(m).alias("model"), F.col(m).alias("predicted")) for m in ("by_customer", "by_priority")]
     )
+    return both.select(
+        "o_orderkey", (F.col("o_totalprice") / 2 + 50_000.0).alias("current"), actual.alias("actual"), F.inline(forecasts)
+    ).select("o_orderkey", "model", "current", "actual", "predicted")
 
 
 def relative_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.bindings.common import fixed, fx, table
-from panelloom.session import shared_dir
+from panelloom.session import new_path
 from panelloom.sources.readers import read_text_table, read_typed_table
 from panelloom.sources.writers import write_table
 
 
 def _written(df: DataFrame, label: str, **options) -> str:
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label)
     write_table(df, path, fmt="csv", **options)
     return path
 

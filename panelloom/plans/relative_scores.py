@@ -47,6 +47,7 @@ def build_relative_scores(raw: DataFrame, valid_keys: DataFrame) -> tuple[DataFr
     """The cleaned table, written once because every score reads it, and the feature table."""
     clean = materialize(clean_scores(raw, valid_keys), "scores-clean")
     group = ["assessment_type", "year"]
-    scored = zscore(clean, group, {c: f"{c}_z_assessment_year" for c in SCORED})
-    scored = percent_rank_average(scored, group, {c: f"{c}_pct_assessment_year" for c in SCORED})
+    # Ranks first: they read the stored table, not the joins of the scores.
+    ranked = percent_rank_average(clean, group, {c: f"{c}_pct_assessment_year" for c in SCORED})
+    scored = zscore(ranked, group, {c: f"{c}_z_assessment_year" for c in SCORED})
     return clean, scored.withColumn("log1p_n_schools", log1p(F.col("n_schools"))).drop("total_students_tested")

@@ -45,6 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="panelloom-"))
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder for an intermediate table; :func:`release` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
@@ -53,9 +60,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     files are below ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
