@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm import byte_cnn, decontaminate, doubling_dedup, nb_char, packing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, wavelet_ids
-from panelloom.session import shared_dir
+from panelloom.session import new_path
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -81,7 +79,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    path = new_path(spark, "token-ids")
     wavelet_ids.write_token_shards(documents(spark, sf_dir), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
     return wavelet_ids.read_documents(spark, path, with_ids=False)
 
@@ -133,4 +131,47 @@ QUERIES = {
     "op9_byte_cnn": op9_byte_cnn,
     "op10_nb_char_ngrams": op10_nb_char_ngrams,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL}
+OP5_SQL = rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_W}') AS w FROM documents),
+d AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM t),
+g AS (
+  SELECT doc_id, pos, string_agg(word, ' ') OVER f AS grams, count(*) OVER f AS n
+  FROM d WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+),
+s AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY grams) < doc_id AS again FROM g WHERE n = 13),
+r AS (SELECT DISTINCT doc_id, pos + o AS pos FROM s, (SELECT unnest(range(13)) AS o) WHERE again),
+k AS (
+  SELECT d.doc_id, count(*) FILTER (r.pos IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY d.pos) FILTER (r.pos IS NULL) AS kept
+  FROM d LEFT JOIN r USING (doc_id, pos) GROUP BY 1
+)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
+_CUT = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP7_SQL = f"""
+WITH t AS (SELECT doc_id, {_CUT} AS w FROM documents),
+b AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, {_CUT} AS w FROM benchmark) WHERE len(w) > 0),
+i AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS grams
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM b)
+),
+g AS (
+  SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS grams
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM t, (SELECT DISTINCT size FROM b) WHERE len(w) >= size)
+),
+h AS (SELECT doc_id, p, size, item_id FROM g JOIN i USING (size, grams)),
+c AS (SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM (SELECT *, unnest(range(size)) AS o FROM h) GROUP BY 1),
+n AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM n GROUP BY 1)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+ORACLES = {"op1_quality_rules": OP1_SQL, "op5_doubling_dedup": OP5_SQL, "op7_suffix_automaton": OP7_SQL}
