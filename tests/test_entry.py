@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from panelloom.bindings import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = [
@@ -32,7 +33,7 @@ def _canonical(rows):
 
 
 def test_only_fits_without_closed_form_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {
+    assert set(QUERIES) - set(ORACLES) == {
         "ridge_fit_predict", "ols_fit_predict", "rf_fit_predict", "gbt_fit_predict", "coefficient_rollup",
         "permutation_importance",
     }
