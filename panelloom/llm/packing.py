@@ -40,7 +40,11 @@ def cut_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes()
+        with encoder(tokenizer) as e:
+            yield from cut_with(e.ids, batches)
+
+    def cut_with(ids_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

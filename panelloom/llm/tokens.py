@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+import threading
+import time
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -21,7 +24,13 @@ _WIDE_BLANKS = re.compile("[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _LONGEST_KEPT = 64
 _TOGETHER = 200
 
+#: A worker process that has not encoded for so many seconds forgets its words, as others need the memory.
+_IDLE_SECONDS = 4
+
 _encoders: dict[tuple[str, int], Encoder] = {}
+_lock = threading.Lock()
+_in_use = 0
+_last_use = 0.0
 
 
 class Encoder:
@@ -140,9 +149,27 @@ def _plain(text: str) -> bool:
     return not _WIDE_BLANKS(text)
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker process, kept between tasks."""
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """The encoder of this worker process, kept between tasks; its words are forgotten when it is idle."""
+    global _in_use, _last_use
     key = (path, os.getpid())
-    if key not in _encoders:
-        _encoders[key] = Encoder(path)
-    return _encoders[key]
+    with _lock:
+        _in_use += 1
+        if key not in _encoders:
+            _encoders[key] = Encoder(path)
+            threading.Thread(target=_forget, args=(_encoders[key],), daemon=True).start()
+    try:
+        yield _encoders[key]
+    finally:
+        with _lock:
+            _in_use -= 1
+            _last_use = time.monotonic()
+
+
+def _forget(idle: Encoder) -> None:
+    while True:
+        time.sleep(_IDLE_SECONDS / 2)
+        with _lock:
+            if not _in_use and time.monotonic() - _last_use > _IDLE_SECONDS:
+                idle.known, idle.before = {}, {}

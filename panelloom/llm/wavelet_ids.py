@@ -121,7 +121,11 @@ def write_token_shards(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes()
+        with encoder(tokenizer) as e:
+            yield from encode_with(e.ids, batches)
+
+    def encode_with(ids_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = np.array([end_id], "<u4").tobytes()
         part, shard, held, keys, lengths, total = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def flush() -> pa.RecordBatch:
