@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from panelloom.llm import (
     automaton, byte_cnn, cutting_stock, decontaminate, doubling_dedup, induced_sort, nb_char, packing, quality_rules,
-    secret_scan, simhash_dedup, suffix_dedup, tokens, wavelet_ids,
+    secret_scan, similar_sets, simhash_dedup, suffix_dedup, tokens, wavelet_ids,
 )
 from panelloom.llm.queries import tokenizer_file
 from panelloom.session import materialize, shared_dir
@@ -426,6 +426,68 @@ def test_one_row_of_each_component_stays(odd_docs, docs):
     assert Counter(r["doc_id"] for r in simhash_dedup.keep_one(docs, width=3).collect()) == Counter(groups)
 
 
+def jaccard_groups(rows, width=5):
+    """Root per row: components of the pairs of similarity 0.8 or more."""
+    sets = []
+    for _, text in rows:
+        w = lower(text or "").encode().split()
+        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or {tuple(w)})
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 9 * len(a & b) >= 4 * (len(a) + len(b)):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(rows))]
+
+
+def near_copies(seed=1):
+    """Texts with copies of a few changed words, a large group of them, and texts that share half."""
+    rng = random.Random(seed)
+    rows = []
+
+    def edited(words, times):
+        words = list(words)
+        for at in rng.sample(range(len(words)), times):
+            words[at] = f"new{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    for _ in range(25):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        rows.append(" ".join(base))
+        rows += [edited(base, t) for t in (1, 2, 3, len(base) // 40 + 1, len(base) // 30 + 1)]
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows += [edited(base, rng.randint(1, 3)) for _ in range(60)]
+    rows += [" ".join(base[:120]) + " " + " ".join(f"x{rng.randrange(5000)}" for _ in range(60)) for _ in range(40)]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_near_copies_of_similarity_08_go(spark):
+    import corpus_pipeline
+
+    rows = near_copies()
+    want = set(jaccard_groups(rows))
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string"), "near")
+    left = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(left) == sorted(want)
+
+
+def test_one_row_of_each_similar_group_stays(spark, odd_docs, no_docs, docs):
+    left = similar_sets.keep_one(odd_docs)
+    assert left.columns == odd_docs.columns
+    assert left.count() == len(set(jaccard_groups([r[:2] for r in ROWS])))
+    assert similar_sets.keep_one(no_docs).count() == 0
+    rows = corpus()
+    want = {rows[i][0] for i in jaccard_groups(rows)}
+    assert sorted(r["doc_id"] for r in similar_sets.keep_one(docs).collect()) == sorted(want)
+
+
 # ---- 9 and 10: classifiers
 
 
