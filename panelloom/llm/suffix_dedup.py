@@ -28,8 +28,12 @@ from panelloom.session import materialize
 
 LENGTH = 200
 ANCHOR = 64
-NONE, ALL, SEND, ALL_SEND = 0, 1, 2, 3
-_SENT = "shard int, chunk long, segment long, alone boolean, bytes binary"
+#: Verdicts on a segment, added up: repeated as it is, to be sorted, this asker stands for all that have it.
+ALL, SEND, FIRST = 1, 2, 4
+#: An anchor with more occurrences is hot: the strings around it are asked about one by one, under their own hashes.
+HOT = 2000
+SHARD_BYTES = 4 << 20
+_SENT = "anchor long, chunk long, segment long, alone boolean, bytes binary"
 _VERDICT = "chunk long, segment long, found binary"
 
 
@@ -67,7 +71,8 @@ class Bytes:
     def segments(self, anchor_answers: list, n_buckets: int) -> None:
         """Cut the strings whose anchor repeats into segments of consecutive starts with the same anchor."""
         distinct, back, _ = self.asked_anchors()
-        repeated = C.answers_for(distinct, anchor_answers, n_buckets)[back] > 0
+        told = C.answers_for(distinct, anchor_answers, n_buckets)[back]
+        repeated = told > 0
         which = np.searchsorted(self.anchors, self.anchor)
         held = repeated[which] if len(which) else np.zeros(0, bool)
         at, which = self.full[held], which[held]
@@ -76,9 +81,12 @@ class Bytes:
         last = np.concatenate((cut, [len(at)])).astype(np.int64) - 1 if len(at) else first
         self.seg_start, self.seg_end = at[first], at[last] + self.length
         self.seg_route = self.anchor_hash[which[first]]
+        self.seg_hot = told[which[first]] == 2
         # Two starts, or one start and two anchors, are two segments; a text and its place in it make one.
         texts = C.range_hashes(self.sums, self.seg_start, self.seg_end)
         self.seg_hash = C.mix(texts ^ C.mix(self.seg_route))
+        # Segments of a hot anchor are spread by their own hash, so none of them shares an anchor there.
+        self.seg_route = np.where(self.seg_hot, self.seg_hash, self.seg_route)
 
     def asked_segments(self):
         """Distinct segments: hash, anchor, where each segment finds its own, an index of one, how often."""
@@ -86,13 +94,28 @@ class Bytes:
         return distinct, self.seg_route[index], back, index, count
 
 
+    def hot_strings(self, told: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the strings in the hot segments for which this chunk stands."""
+        chosen = index[self.seg_hot[index] & ((told & FIRST) > 0)]
+        first, size = self.seg_start[chosen], self.seg_end[chosen] - self.seg_start[chosen] - self.length + 1
+        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return at, C.range_hashes(self.sums, at, at + self.length)
+
+
+def _occurrences(arrays: list[np.ndarray], owners: np.ndarray, hot: int) -> np.ndarray:
+    """Per anchor: 0 if it occurs once, 2 if more than ``hot`` times, else 1."""
+    _, back = np.unique(arrays[0], return_inverse=True)
+    total = np.bincount(back, arrays[1])
+    return ((total > 1).astype(np.int64) + (total > hot))[back]
+
+
 def _repeats(arrays: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
     _, back, count = np.unique(arrays[0], return_inverse=True, return_counts=True)
     return ((count > 1) | (np.bincount(back, arrays[1], len(count)) > 0))[back]
 
 
 def _judge(arrays: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
-    """Per segment and asker: repeated as it is, to be sent, both or neither."""
+    """Per segment and asker: ``ALL``, ``SEND`` and ``FIRST`` where they hold."""
     segment, anchor, several = arrays
     distinct, index, back, count = np.unique(segment, return_index=True, return_inverse=True, return_counts=True)
     repeated = (count > 1) | (np.bincount(back, several, len(count)) > 0)
@@ -101,7 +124,7 @@ def _judge(arrays: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
     first = np.zeros(len(segment), bool)
     first[index] = True
     send = contested[back] & first
-    return np.where(repeated[back], np.where(send, ALL_SEND, ALL), np.where(send, SEND, NONE))
+    return ALL * repeated[back] + SEND * send + FIRST * first
 
 
 def _sorted_finds(texts: list[bytes], length: int, memory: int) -> list[np.ndarray]:
@@ -121,7 +144,7 @@ def _sorted_finds(texts: list[bytes], length: int, memory: int) -> list[np.ndarr
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, text: str = "text", key: str = "doc_id",
-    memory: int = 1 << 22,
+    memory: int = 1 << 22, hot: int = HOT,
 ) -> DataFrame:
     """Per input row: doc_id, n_bytes, n_removed, n_spans and ``kept``, the bytes left.
 
@@ -129,14 +152,15 @@ def remove_repeats(
     another; repeated rows are documents of their own, so a row repeated goes wherever it is long enough. A null
     or empty text has no bytes; one shorter than ``length`` loses none; a null key stays null; an empty table
     gives an empty result. ``memory`` is the number of places a sort's queue holds before it spills.
+    Strings around an anchor that occurs more than ``hot`` times are compared by 64-bit hash instead of sorted.
     """
     stored = C.store_chunks(docs, text, key)
     n_buckets = C.buckets_of(stored)
-    n_shards = max(1, n_buckets // 4)
+    hot = max(1, hot)
 
     def anchors(row):
         distinct, _, count = Bytes(row, length, anchor).asked_anchors()
-        return distinct, [count > 1]
+        return distinct, [count]
 
     def with_segments(row) -> Bytes:
         b = Bytes(row, length, anchor)
@@ -147,13 +171,24 @@ def remove_repeats(
         distinct, route, _, _, count = with_segments(row).asked_segments()
         return distinct, [route, count > 1], route
 
-    first = C.ask(stored, anchors, _repeats, {"hash": np.dtype("<u4"), "several": np.dtype("<u1")})
+    first = C.ask(stored, anchors, lambda a, o: _occurrences(a, o, hot), {"hash": np.dtype("<u4"), "count": np.dtype("<u4")})
     rows = stored.join(materialize(first, "answers").withColumnRenamed("answers", "answers_0"), "chunk", "left")
     second = C.ask(
         rows, segments, _judge, {"hash": np.dtype("<u8"), "anchor": np.dtype("<u8"), "several": np.dtype("<u1")}
     )
     rows = rows.join(materialize(second, "answers").withColumnRenamed("answers", "answers_1"), "chunk", "left")
 
+    def strings(row):
+        b = with_segments(row)
+        distinct, route, _, index, _ = b.asked_segments()
+        told = C.answers_for(distinct, row["answers_1"] or [], n_buckets, route)
+        found, count = np.unique(b.hot_strings(told, index)[1], return_counts=True)
+        return found, [count > 1]
+
+    some_hot = rows.filter("exists(answers_0, a -> contains(a.answer, X'02'))")
+    third = C.ask(some_hot, strings, _repeats, {"hash": np.dtype("<u8"), "several": np.dtype("<u1")})
+    rows = rows.join(materialize(third, "answers").withColumnRenamed("answers", "answers_2"), "chunk", "left")
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -162,15 +197,14 @@ def remove_repeats(
                 b = with_segments(row)
                 distinct, route, _, index, _ = b.asked_segments()
                 told = C.answers_for(distinct, row["answers_1"], n_buckets, route)
-                sent = np.flatnonzero(told >= SEND)
-                shard = C.bucket_of(route[sent], n_shards)
+                sent = np.flatnonzero((told & SEND) > 0)
                 texts = [b.data[b.seg_start[i] : b.seg_end[i]].tobytes() for i in index[sent]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard, pa.int32()), pa.array([row["chunk"]] * len(sent), pa.int64()),
-                        pa.array(distinct[sent].view(np.int64)), pa.array(told[sent] == SEND), pa.array(texts, pa.binary()),
+                        pa.array(route[sent].view(np.int64)), pa.array([row["chunk"]] * len(sent), pa.int64()),
+                        pa.array(distinct[sent].view(np.int64)), pa.array((told[sent] & ALL) == 0), pa.array(texts, pa.binary()),
                     ],
-                    names=["shard", "chunk", "segment", "alone", "bytes"],
+                    names=["anchor", "chunk", "segment", "alone", "bytes"],
                 )
 
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +230,11 @@ def remove_repeats(
             yield verdicts()
 
     # Rows of a shard lie together; what a task holds is one shard, not its partition.
-    sharded = rows.mapInArrow(send, _SENT).repartition(n_shards, "shard").sortWithinPartitions("shard")
+    sent = materialize(rows.mapInArrow(send, _SENT), "sent")
+    size = sent.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    n_shards = max(1, n_buckets // 4, -(-size // SHARD_BYTES))
+    sent = sent.select(F.pmod(F.xxhash64("anchor"), F.lit(n_shards)).alias("shard"), "chunk", "segment", "alone", "bytes")
+    sharded = sent.repartition(n_shards, "shard").sortWithinPartitions("shard")
     verdict = sharded.mapInArrow(sort_shards, _VERDICT).groupBy("chunk").agg(
         F.collect_list(F.struct("segment", "found")).alias("verdicts")
     )
@@ -206,10 +244,11 @@ def remove_repeats(
         for batch in batches:
             for row in batch.to_pylist():
                 b = with_segments(row)
-                distinct, route, back, _, _ = b.asked_segments()
-                told = C.answers_for(distinct, row["answers_1"] or [], n_buckets, route)[back]
+                distinct, route, back, index, _ = b.asked_segments()
+                asked = C.answers_for(distinct, row["answers_1"] or [], n_buckets, route)
+                told = asked[back]
                 cover = np.zeros(len(b.data) + 1, np.int64)
-                whole = (told == ALL) | (told == ALL_SEND)
+                whole = (told & ALL) > 0
                 np.add.at(cover, b.seg_start[whole], 1)
                 np.add.at(cover, b.seg_end[whole], -1)
                 place = {int(h): i for i, h in enumerate(b.seg_hash.view(np.int64).tolist())}
@@ -219,6 +258,12 @@ def remove_repeats(
                     at = np.flatnonzero(np.unpackbits(np.frombuffer(v["found"], np.uint8), count=n)) + b.seg_start[i]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + length, -1)
+                if row["answers_2"]:
+                    at, hashes = b.hot_strings(asked, index)
+                    each, where = np.unique(hashes, return_inverse=True)
+                    at = at[C.answers_for(each, row["answers_2"], n_buckets)[where] > 0]
+                    np.add.at(cover, at, 1)
+                    np.add.at(cover, at + length, -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 removed, spans, kept = [], [], []
                 for blob, lo, hi in zip(b.blobs, b.starts.tolist(), b.ends.tolist(), strict=True):

@@ -279,6 +279,25 @@ def test_suffix_dedup(spark, docs, odd_docs, no_docs, length, anchor):
         assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 8])
+def test_hot_anchors_are_not_gathered(docs, monkeypatch, hot):
+    sent = []
+
+    def watch(df, label):
+        out = materialize(df, label)
+        if label == "sent":
+            sent.extend(r[1] for r in out.groupBy("anchor").count().collect())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "materialize", watch)
+    got = suffix_dedup.remove_repeats(docs, 50, 16, hot=hot).collect()
+    assert max(sent, default=0) <= hot
+    sent.clear()
+    want = suffix_dedup.remove_repeats(docs, 50, 16, hot=10**9).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, want))
+    assert max(sent) > 8  # the shared passages do gather without the bound
+
+
 # ---- 7: decontamination
 
 
