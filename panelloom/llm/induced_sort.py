@@ -5,6 +5,8 @@ names of the substrings between S places, recursively while names repeat. Induct
 (symbol, arrival): it is kept as buckets of neighbouring symbols, each an append-only list of places that goes to
 a temporary file when the queue outgrows its memory and is read back when its turn comes. Items leave a bucket in
 runs that cannot induce anything smaller than what leaves with them, so each step works on whole arrays.
+
+Only the waiting places spill; symbols, types, order and output stay in memory, so callers must bound the text.
 """
 
 from __future__ import annotations
