@@ -4,33 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import decontaminate, packing, quality_rules, secret_scan, similar_sets
+from panelloom.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup
 from panelloom.llm.queries import tokenizer_file
 from panelloom.session import materialize
 
 
+# Every stage gives an empty table for an empty one, carries other columns along as they are whatever their names, and
+# judges repeated rows each for itself, but for near copies.
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rule table."""
+    """Documents that pass the rule table. A null or empty text has no words and goes."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles of Jaccard similarity 0.8 or more."""
-    return similar_sets.keep_one(docs, width=5, radius=2)
+    """The smallest id of each component of fingerprints at most 2 bits apart (three-word shingles), nulls included.
+
+    Repeated rows and texts without words are near copies of each other; any one row of a repeated smallest id stays.
+    """
+    return simhash_dedup.keep_one(docs, width=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less benchmark passages; those that are mostly benchmark go."""
+    """Documents less benchmark passages; those that are mostly benchmark go. Null and empty texts stay as they are."""
     return decontaminate.remove_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets masked."""
+    """Documents with their secrets masked. Null and empty texts stay as they are."""
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their place in sequences of 2048 tokens."""
+    """Pieces of the documents with their place in sequences of 2048 tokens. A null or empty text is its end id."""
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=1)
 
 
@@ -42,7 +49,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Fingerprints, automata and packing are beyond SQL; tests hold the stages against brute force.
+#: Packing is beyond SQL; tests hold every stage against plain Python, whole rows.
 ORACLE_SQL = None
 
 
