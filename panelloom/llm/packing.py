@@ -13,14 +13,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.llm import cutting_stock
-from panelloom.llm.tokens import encoder
+from panelloom.llm.tokens import encoder, in_groups
 from panelloom.session import materialize
 
 CAPACITY = 2048
@@ -41,14 +42,15 @@ def cut_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with encoder(tokenizer) as e:
-            yield from cut_with(e.ids, batches)
+            yield from cut_with(e.ids_of, batches)
 
     def cut_with(ids_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                blob = memoryview(ids_of(t.as_py()) + end)
+            encoded = chain.from_iterable(map(ids_of, in_groups(t.as_py() for t in batch.column(1))))
+            for k, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                blob = memoryview(ids + end)
                 for at in range(0, len(blob), 4 * capacity):
                     piece = blob[at : at + 4 * capacity]
                     row = (k, at // 4, len(piece) // 4, zlib.crc32(piece), len(blob) // 4)
@@ -72,12 +74,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT)
     spark = pieces.sparkSession
     size = F.least(F.ceil(F.col("length") / unit), F.lit(capacity // unit)).cast("int")
     units = capacity // unit
-    # At most capacity rows, whatever the table.
-    histogram = pieces.groupBy(size.alias("size")).count().collect()
-    demand = np.zeros(units + 1, np.int64)
-    for row in histogram:
-        demand[row["size"]] = row["count"]
-    slots = _slots(spark, cutting_stock.plan(demand, units))
+    slots = materialize(_slots(pieces.groupBy(size.alias("size")).count(), units), "slots")
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
@@ -108,19 +105,32 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT)
     return placed.select("piece", "sequence_id", offset.alias("offset")).select("piece.*", "sequence_id", "offset")
 
 
-def _slots(spark: SparkSession, planned: list[tuple[cutting_stock.Pattern, int]]) -> DataFrame:
-    """For each size class, the ranges of ranks that each pattern takes."""
-    rows, taken, sequence = [], {}, 0
-    for pattern, times in planned:
-        place = 0
-        for size, n in pattern:
-            lo = taken.get(size, 0)
-            rows.append((size, lo, lo + n * times, sequence, times, place))
-            taken[size] = lo + n * times
-            place += n
-        sequence += times
+def _slots(histogram: DataFrame, units: int) -> DataFrame:
+    """For each size class, the ranges of ranks that each pattern takes.
+
+    ``histogram`` has at most ``units`` rows whatever the table, so one task plans from all of them.
+    """
+
+    def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        demand = np.zeros(units + 1, np.int64)
+        for batch in batches:
+            demand[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+        rows, taken, sequence = [], {}, 0
+        for pattern, times in cutting_stock.plan(demand, units):
+            place = 0
+            for size, n in pattern:
+                lo = taken.get(size, 0)
+                rows.append((size, lo, lo + n * times, sequence, times, place))
+                taken[size] = lo + n * times
+                place += n
+            sequence += times
+        names = ["slot_size", "lo", "hi", "first_sequence", "times", "place"]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+        kinds = [pa.int32(), *[pa.int64()] * 4, pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
     schema = "slot_size int, lo long, hi long, first_sequence long, times long, place int"
-    return spark.createDataFrame(rows, schema)
+    return histogram.coalesce(1).mapInArrow(planned, schema)
 
 
 def pack(

@@ -44,13 +44,13 @@ class Rule:
         return reduce(lambda a, b: a & b, tests)
 
 
-#: The default table. Ratios are per word, but for the last two, which are per line with a word.
+#: The default table. Ratios are per word, but for the last, which is per line with a word; none grows with the length.
+#: The stop words are English, French, German and Spanish: texts in other languages need a table of their own.
 RULES = (
     Rule("word_length", "mean_word_chars", 3.0, 12.0),
     Rule("symbols", "symbol_ratio", high=0.1),
     Rule("stop_words", "stop_word_ratio", low=0.06),
     Rule("repeated_lines", "dup_line_ratio", high=0.4),
-    Rule("words_per_line", "words_per_line", high=5000.0),
 )
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50

@@ -50,8 +50,7 @@ WITH t AS (
            CASE WHEN n_words = 0 OR word_chars / n_words < 3 OR word_chars / n_words > 12 THEN 'word_length' END,
            CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1::DOUBLE THEN 'symbols' END,
            CASE WHEN n_words = 0 OR n_stop / n_words < 0.06::DOUBLE THEN 'stop_words' END,
-           CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.4::DOUBLE THEN 'repeated_lines' END,
-           CASE WHEN n_lines > 0 AND n_words / n_lines > 5000 THEN 'words_per_line' END) AS failed_rules
+           CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.4::DOUBLE THEN 'repeated_lines' END) AS failed_rules
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -2,14 +2,15 @@
 
 Sure kinds (``assign``, ``access``, ``hex``) are reported wherever they match. An identifier, a piece of key
 material or an endpoint alone is ordinary text; it is reported when the parts that complete it lie in the same
-scope (a block of lines without an empty one) within ``reach`` characters:
+scope (a block of lines without an empty one), however far apart:
 
 * ``ident`` beside key material, weak or sure;
 * ``material`` beside an identifier or an endpoint;
 * ``endpoint`` beside both an identifier and key material.
 
-The parts are linked by an interval join on (row, scope, cell), a cell being ``reach`` characters. A cell keeps
-the first and last start of each role, so a part meets at most three rows and no pairs within a scope arise.
+The parts are linked by an interval join with the scopes they start in. Scopes of a text are disjoint, so the number
+of a scope stands for its interval and the join is on (row, scope). A scope is one row with the roles it holds,
+aggregated before the shuffle: a part meets one row, and no pairs within a scope arise.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.session import materialize
@@ -40,7 +41,6 @@ MATERIAL = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 ENDPOINT = re.compile(r"""[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s"'<>]+""")
 WEAK = ("ident", "material", "endpoint")
 KINDS = BASE + WEAK
-REACH = 400
 #: A text without a match of this has no span of any kind; the test runs over whole columns.
 _ANY = (
     r"(?i)password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}|access_?key_?id|client_?id|account_?id|user_?name"
@@ -84,13 +84,21 @@ def _scopes(text: str) -> list[int]:
     return [m.start() for m in re.finditer(r"\n[ \t\r]*\n", text)]
 
 
-def scan_texts(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_row: bool = False) -> DataFrame:
-    """Per row: a number of its own, sure finds and parts; with the input row as a struct if asked for.
+def parts_of(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
+    """The sure finds of a text, and sure and weak finds with their scopes; none of the latter if no find is weak."""
+    base = base_spans(text)
+    weak = weak_spans(text, base)
+    scopes = _scopes(text) if weak else []
+    near = sorted(base + weak) if weak else []
+    return base, [{"start": s, "kind": k, "end": e, "scope": bisect_right(scopes, s)} for s, k, e in near]
+
+
+_PART = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("scope", pa.int64())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 
-    The numbers are fixed once the result is stored. A part is a sure or weak find with its scope.
-    """
-    part = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("scope", pa.int64())]))
-    span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
+
+def scan_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Per row: a number of its own, sure finds and parts. The numbers are fixed once the result is stored."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -98,85 +106,61 @@ def scan_texts(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_ro
             hits = pc.match_substring_regex(batch.column(1), _ANY).to_pylist()
             bases, parts = [], []
             for t, hit in zip(batch.column(1), hits, strict=True):
-                base, weak, scopes = [], [], []
-                if hit:
-                    value = t.as_py()
-                    base = base_spans(value)
-                    weak = weak_spans(value, base)
-                    scopes = _scopes(value) if weak else []
+                base, near = parts_of(t.as_py()) if hit else ([], [])
                 bases.append([{"start": s, "kind": k, "end": e} for s, k, e in base])
-                near = sorted(base + weak) if weak else []
-                parts.append([{"start": s, "kind": k, "end": e, "scope": bisect_right(scopes, s)} for s, k, e in near])
+                parts.append(near)
             n = batch.num_rows
-            out = [pa.array(range(number, number + n), pa.int64()), batch.column(0), pa.array(bases, span), pa.array(parts, part)]
+            out = [pa.array(range(number, number + n), pa.int64()), batch.column(0), pa.array(bases, _SPANS), pa.array(parts, _PART)]
             number += n
-            names = ["row_id", "doc_id", "base", "parts"]
-            if keep_row:
-                out.append(batch.column(2))
-                names.append("row")
-            yield pa.RecordBatch.from_arrays(out, names=names)
-
-    chosen = docs.select(
-        F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *([F.struct("*").alias("row")] if keep_row else [])
-    )
-    schema = _SCAN
-    if keep_row:
-        schema += f", row {chosen.schema['row'].dataType.simpleString()}"
-    return chosen.mapInArrow(scan, schema)
+            yield pa.RecordBatch.from_arrays(out, names=["row_id", "doc_id", "base", "parts"])
 
+    chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return chosen.mapInArrow(scan, _SCAN)
 
-def link_parts(scanned: DataFrame, reach: int = REACH) -> DataFrame:
-    """``(row_id, start, kind, end)`` of the weak parts whose complements lie within ``reach`` of their start."""
-    parts = scanned.filter(F.size("parts") > 0).select("row_id", F.explode("parts").alias("p")).select("row_id", "p.*")
-    kind = F.col("kind")
-    role = (
-        F.when(kind.isin(1, 3), "ident").when(kind.isin(0, 2, 4), "material").otherwise("endpoint")
-    )  # access identifiers and secrets among the sure finds complete weak parts too
-    parts = parts.withColumn("role", role).withColumn("cell", F.floor(F.col("start") / reach))
-    ends = [
-        f(F.when(F.col("role") == r, F.col("start"))).alias(f"{n}_{r}")
-        for r in ("ident", "material", "endpoint") for n, f in (("first", F.min), ("last", F.max))
-    ]
-    cells = parts.groupBy("row_id", "scope", "cell").agg(*ends)
-    # The cell before, the same and the one after: whatever starts in the same cell is within reach.
-    around = F.explode(F.array(*[F.struct(F.lit(-d).alias("side"), (F.col("cell") + d).alias("at")) for d in (-1, 0, 1)]))
-    seen = cells.select("*", around.alias("a")).select(
-        "row_id", "scope", F.col("a.at").alias("cell"), F.col("a.side").alias("side"), *[f"{n}_{r}" for r in ("ident", "material", "endpoint") for n in ("first", "last")]
-    )
-    weak = parts.filter(kind >= len(BASE))
 
-    def near(r: str):
-        return (
-            F.when(F.col("side") == 0, F.col(f"first_{r}").isNotNull())
-            .when(F.col("side") < 0, F.col(f"last_{r}") >= F.col("start") - reach)
-            .otherwise(F.col(f"first_{r}") <= F.col("start") + reach)
-        )
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
 
-    met = weak.join(seen, ["row_id", "scope", "cell"]).groupBy("row_id", "start", "kind", "end").agg(
-        *[F.coalesce(F.bool_or(near(r)), F.lit(False)).alias(r) for r in ("ident", "material", "endpoint")]
-    )
+
+def scan_distinct(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(row_id, parts)`` of the texts that have weak parts, named by their SHA-256: copies have the same parts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = pc.match_substring_regex(batch.column(1), _ANY).to_pylist()
+            parts = [parts_of(t.as_py())[1] if hit else [] for t, hit in zip(batch.column(1), hits, strict=True)]
+            full = pa.array([bool(p) for p in parts], pa.bool_())
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, _PART)], names=["row_id", "parts"])
+            yield out.filter(full)
+
+    chosen = docs.select(_digest(F.col(text)).alias("row_id"), F.col(text).alias("text"))
+    return chosen.mapInArrow(scan, "row_id binary, parts array<struct<start:long,kind:int,end:long,scope:long>>")
+
+
+def link_parts(scanned: DataFrame) -> DataFrame:
+    """``(row_id, start, kind, end)`` of the weak parts whose complements lie in their scope."""
+    parts = scanned.filter(F.size("parts") > 0).select("row_id", F.explode("parts").alias("p")).select("row_id", "p.*")
+    kind = F.col("kind")
+    # Access identifiers and secrets among the sure finds complete weak parts too.
+    roles = {"ident": kind.isin(1, 3), "material": kind.isin(0, 2, 4), "endpoint": kind == 5}
+    scopes = parts.groupBy("row_id", "scope").agg(*[F.bool_or(test).alias(role) for role, test in roles.items()])
     complete = (
-        F.when(F.col("kind") == 3, F.col("material"))
-        .when(F.col("kind") == 4, F.col("ident") | F.col("endpoint"))
-        .otherwise(F.col("ident") & F.col("material"))
+        F.when(kind == 3, F.col("material")).when(kind == 4, F.col("ident") | F.col("endpoint")).otherwise(F.col("ident") & F.col("material"))
     )
-    return met.filter(complete).select("row_id", "start", "kind", "end")
+    met = parts.filter(kind >= len(BASE)).join(scopes, ["row_id", "scope"]).filter(complete)
+    return met.select("row_id", "start", "kind", "end").distinct()
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH, text: str = "text", key: str = "doc_id", keep_row: bool = False) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, ``base`` and ``spans`` as arrays of (start, kind, end), by start, then kind.
 
     ``kind`` is a position in KINDS. A null or empty text has no spans; repeated rows and keys are told apart
-    by a number of their own; a null key stays null; an empty table gives an empty result. With ``keep_row``
-    the input row comes along as a struct.
+    by a number of their own; a null key stays null; an empty table gives an empty result.
     """
-    scanned = materialize(scan_texts(docs, text, key, keep_row), "secret-scan")
-    linked = link_parts(scanned, reach).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "end")).alias("weak"))
-    rest = ["row"] if keep_row else []
+    scanned = materialize(scan_texts(docs, text, key), "secret-scan")
+    linked = link_parts(scanned).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "end")).alias("weak"))
     spans = F.array_sort(F.concat("base", F.coalesce("weak", F.array().cast(f"array<{_SPAN}>"))))
-    return scanned.select("row_id", "doc_id", "base", *rest).join(linked, "row_id", "left").select(
-        "doc_id", "base", spans.alias("spans"), *rest
-    )
+    return scanned.select("row_id", "doc_id", "base").join(linked, "row_id", "left").select("doc_id", "base", spans.alias("spans"))
 
 
 def spans_text(spans: str):
@@ -195,20 +179,30 @@ def blank_out(text: str, starts, ends, mask: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, mask: str = "[secret]", reach: int = REACH, text: str = "text", key: str = "doc_id") -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[secret]", text: str = "text") -> DataFrame:
     """The input rows with every span replaced by ``mask``; spans that touch or overlap are replaced as one.
 
-    All other columns, and texts without a span, stay as they were.
+    All other columns, and texts without a span, stay as they were; so do null and empty texts and repeated rows,
+    each for itself; an empty table gives an empty result. Texts are read twice and not stored: the weak spans are
+    found first, one row per distinct text that has any, and meet the texts again by digest. That table is written,
+    so its size decides for a broadcast. ``docs`` should be a stored table.
     """
-    found = find_secrets(docs, reach, text, key, keep_row=True)
+    found = link_parts(scan_distinct(docs, text)).groupBy("row_id").agg(
+        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends")
+    )
+    linked = materialize(found, "linked-parts")
 
     @F.pandas_udf("string")
     def cover(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        done = [None if t is None else blank_out(t, a, b, mask) for t, a, b in zip(texts, starts, ends, strict=True)]
+        hits = pc.match_substring_regex(pa.array(texts, pa.string()), _ANY).to_pylist()
+        done = []
+        for t, hit, a, b in zip(texts, hits, starts, ends, strict=True):
+            spans = [(s, e) for s, _, e in base_spans(t)] if hit else []
+            spans += zip(a, b, strict=True) if a is not None else []
+            done.append(blank_out(t, [s for s, _ in spans], [e for _, e in spans], mask) if spans else t)
         return pd.Series(done, dtype=object)
 
-    touched = F.when(F.size("spans") > 0, F.col(f"row.`{text}`"))
-    cleaned = found.select(
-        "row", F.coalesce(cover(touched, F.col("spans.start"), F.col("spans.end")), F.col(f"row.`{text}`")).alias("_clean")
-    )
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"), _digest(F.col(text)).alias("_digest"))
+    met = rows.join(linked, F.col("_digest") == F.col("row_id"), "left")
+    cleaned = met.select("row", cover("_text", "_starts", "_ends").alias("_clean"))
     return cleaned.select(*[F.col("_clean").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

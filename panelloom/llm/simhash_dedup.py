@@ -120,7 +120,7 @@ def components(docs: DataFrame, width: int = 3, radius: int = 2, text: str = "te
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The input rows less all but one of each component: the row with the smallest key, all columns as they were.
 
     If that key is repeated, the row with the smallest fingerprint stays, and of equal ones any. A component

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import os
 import re
-import threading
-import time
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -24,13 +22,9 @@ _WIDE_BLANKS = re.compile("[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _LONGEST_KEPT = 64
 _TOGETHER = 200
 
-#: A worker process that has not encoded for so many seconds forgets its words, as others need the memory.
-_IDLE_SECONDS = 4
+_GROUP_CHARS = 1 << 16
 
 _encoders: dict[tuple[str, int], Encoder] = {}
-_lock = threading.Lock()
-_in_use = 0
-_last_use = 0.0
 
 
 class Encoder:
@@ -58,6 +52,8 @@ class Encoder:
         self.before: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
@@ -115,23 +111,39 @@ class Encoder:
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text; none for a null or empty one."""
-        if not text:
-            return b""
-        pieces = self._pieces(text)
-        if pieces is None:
-            return self._ask([text])[0]
-        head = b""
-        if self.spaced:
-            head, pieces = self._ask([pieces[0]])[0] if pieces[0] else b"", pieces[1:]
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of some texts; their new pieces are asked for together."""
+        cut = [self._pieces(t) if t else [] for t in texts]
         if len(self.known) > self.remembered:
             self.known, self.before = {}, self.known
-        new = set(pieces).difference(self.known)
-        long = {p for p in new if len(p) > _LONGEST_KEPT}
-        self._learn(new - long)
-        if not long:
-            return head + b"".join(map(self.known.__getitem__, pieces))
-        apart = dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True))
-        return head + b"".join([apart[p] if p in apart else self.known[p] for p in pieces])
+        heads: dict[str, bytes] = {}
+        if self.spaced:
+            first = list({p[0] for p in cut if p and p[0]})
+            heads = dict(zip(first, self._ask(first), strict=True))
+            heads[""] = b""
+        rest = [p[1:] if p and self.spaced else p for p in cut]
+        new = set().union(*[set(p).difference(self.known) for p in rest if p])
+        long = [p for p in new if len(p) > _LONGEST_KEPT]
+        new.difference_update(long)
+        self._learn(new)
+        apart = dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)) if long else None
+        known, out = self.known, []
+        for text, pieces, own in zip(texts, cut, rest, strict=True):
+            if pieces is None:
+                out.append(self._ask([text])[0])
+            elif not pieces:
+                out.append(b"")
+            else:
+                body = map(known.__getitem__, own) if not apart else [apart[p] if p in apart else known[p] for p in own]
+                out.append((heads[pieces[0]] if self.spaced else b"") + b"".join(body))
+        return out
+
+    def trim(self) -> None:
+        """Forget the older words if more than ``remembered`` are held."""
+        if len(self.known) + len(self.before) > self.remembered:
+            self.before = {}
 
 
 def _latin(text: str) -> bool:
@@ -151,25 +163,25 @@ def _plain(text: str) -> bool:
 
 @contextmanager
 def encoder(path: str) -> Iterator[Encoder]:
-    """The encoder of this worker process, kept between tasks; its words are forgotten when it is idle."""
-    global _in_use, _last_use
+    """The encoder of this worker process, kept between tasks with at most ``remembered`` pieces of 64 characters."""
     key = (path, os.getpid())
-    with _lock:
-        _in_use += 1
-        if key not in _encoders:
-            _encoders[key] = Encoder(path)
-            threading.Thread(target=_forget, args=(_encoders[key],), daemon=True).start()
+    if key not in _encoders:
+        _encoders[key] = Encoder(path)
     try:
         yield _encoders[key]
     finally:
-        with _lock:
-            _in_use -= 1
-            _last_use = time.monotonic()
-
-
-def _forget(idle: Encoder) -> None:
-    while True:
-        time.sleep(_IDLE_SECONDS / 2)
-        with _lock:
-            if not _in_use and time.monotonic() - _last_use > _IDLE_SECONDS:
-                idle.known, idle.before = {}, {}
+        _encoders[key].trim()
+
+
+def in_groups(texts: Iterable[str | None], chars: int = _GROUP_CHARS) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``chars`` characters; a longer text is a run of its own."""
+    held: list[str | None] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
