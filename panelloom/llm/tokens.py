@@ -11,8 +11,10 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
 #: A word of Latin letters, and plain punctuation after it: encoders of both kinds cut between the two.
 _WORD_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@\[\]^_`{|}~\"-]*)").fullmatch
@@ -23,6 +25,8 @@ _LONGEST_KEPT = 64
 _TOGETHER = 200
 
 _GROUP_CHARS = 1 << 16
+#: What a worker process holds between tasks, as others need the memory: about 25 MB.
+_IDLE_PIECES = 100_000
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 
@@ -140,10 +144,10 @@ class Encoder:
                 out.append((heads[pieces[0]] if self.spaced else b"") + b"".join(body))
         return out
 
-    def trim(self) -> None:
-        """Forget the older words if more than ``remembered`` are held."""
-        if len(self.known) + len(self.before) > self.remembered:
-            self.before = {}
+    def trim(self, most: int = _IDLE_PIECES) -> None:
+        """Keep ``most`` pieces, the first learnt or used again since older ones were set aside: mostly frequent ones."""
+        if len(self.known) + len(self.before) > most:
+            self.known, self.before = dict(islice(self.known.items(), most)), {}
 
 
 def _latin(text: str) -> bool:
@@ -163,7 +167,7 @@ def _plain(text: str) -> bool:
 
 @contextmanager
 def encoder(path: str) -> Iterator[Encoder]:
-    """The encoder of this worker process, kept between tasks with at most ``remembered`` pieces of 64 characters."""
+    """The encoder of this worker process, kept between tasks with few of its pieces."""
     key = (path, os.getpid())
     if key not in _encoders:
         _encoders[key] = Encoder(path)
@@ -171,6 +175,7 @@ def encoder(path: str) -> Iterator[Encoder]:
         yield _encoders[key]
     finally:
         _encoders[key].trim()
+        pa.default_memory_pool().release_unused()
 
 
 def in_groups(texts: Iterable[str | None], chars: int = _GROUP_CHARS) -> Iterator[list[str | None]]:

@@ -369,6 +369,8 @@ def test_passages_removed_and_clean_rows_untouched(spark, odd_docs):
     texts = Counter(r["text"] for r in left.collect())
     assert texts[ROWS[5][1]] == 1 and texts[None] == 1 and ROWS[0][1] not in texts
     assert decontaminate.remove_passages(odd_docs, items, max_coverage=0.1).count() == len(ROWS) - 2
+    blocks = decontaminate.remove_passages(odd_docs, items, max_coverage=1.0, block_words=12)  # the item is cut in parts
+    assert Counter(map(tuple, blocks.collect())) == Counter(map(tuple, left.collect()))
 
 
 def test_automaton_matches_are_longest():
