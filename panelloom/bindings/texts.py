@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelloom.bindings.common import fixed, fx, table
 from panelloom.session import new_path
-from panelloom.sources.readers import read_text_table, read_typed_table
+from panelloom.sources.readers import read_keyed, read_text_table, read_typed_table
 from panelloom.sources.writers import write_table
 
 
@@ -33,8 +33,25 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("c_custkey", "c_name", fixed(F.col("c_acctbal"), 2).alias("c_acctbal"))
 
 
-QUERIES = {"text_round_trip": text_round_trip, "text_scan": text_scan}
+def keyed_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed panel in text with bars between cells and line breaks in them; keys are padded, years must be whole."""
+    customers = table(spark, sf_dir, "customer")
+    note = F.concat("c_name", F.lit('\n|"'), "c_mktsegment", F.lit('"\r\n'))
+    panel = customers.select(
+        F.col("c_custkey").cast("string").alias("zcta5"), (F.col("c_nationkey") + 2000).cast("string").alias("year"), note.alias("note"), "c_acctbal",
+    )
+    schema = "zcta5 string, year string, note string, c_acctbal double"
+    back = read_keyed(spark, _written(panel, "keyed", sep="|"), schema, sep="|", multi_line=True)
+    return back.select("zcta5", F.col("year").cast("long").alias("year"), "note", fixed(F.col("c_acctbal"), 2).alias("c_acctbal"))
+
+
+QUERIES = {"text_round_trip": text_round_trip, "text_scan": text_scan, "keyed_text_scan": keyed_text_scan}
 ORACLES = {
+    "keyed_text_scan": f"""
+SELECT CASE WHEN length(c_custkey::VARCHAR) < 5 THEN lpad(c_custkey::VARCHAR, 5, '0') ELSE c_custkey::VARCHAR END AS zcta5,
+       2000 + c_nationkey AS year, c_name || chr(10) || '|"' || c_mktsegment || '"' || chr(13) || chr(10) AS note,
+       {fx("c_acctbal", 2)} AS c_acctbal
+FROM customer""",
     "text_round_trip": "SELECT page_id, url, html FROM pages",
     "text_scan": f"""
 SELECT c_custkey, '  "' || c_name || '", \\ ""' || c_mktsegment || '"  ' AS c_name, {fx("c_acctbal", 2)} AS c_acctbal

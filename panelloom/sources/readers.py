@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from panelloom.functions.keys import pad_key
 from panelloom.functions.scalars import missing_to_null, strict_int
+from panelloom.sources.records import check_quotes, quoted_records
 
 
 def read_text_table(
@@ -18,16 +19,35 @@ def read_text_table(
     """Delimited files with a header, every column text; missing-value texts become NULL.
 
     A quote inside a quoted cell is doubled. A row with too many or too few cells, or a file whose header
-    differs from the first file's, is an error. ``multi_line`` allows line breaks inside quotes; such a file
-    cannot be split, so one task reads it whole.
+    differs from the first file's, is an error. ``multi_line`` allows line breaks inside quotes; files are then
+    split all the same (:mod:`panelloom.sources.records`), and a quote in a cell without quotes is an error.
     """
     options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multi_line}
-    header = spark.read.options(**options).csv(path).columns  # reads the first line only
+    header = spark.read.options(**options).csv(path).columns  # reads the first record only
     cells = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = spark.read.schema(cells).options(**options, mode="FAILFAST", enforceSchema=False, columnPruning=False).csv(path)
+    if multi_line:
+        df = _parse_records(quoted_records(spark, path), cells, sep)
+    else:
+        df = spark.read.schema(cells).options(**options, mode="FAILFAST", enforceSchema=False, columnPruning=False).csv(path)
     return df.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in columns or header])
 
 
+def _parse_records(records: DataFrame, cells: T.StructType, sep: str) -> DataFrame:
+    """Records to columns; the first of each file must be the header and goes."""
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+    parsed = F.from_csv(check_quotes(F.col("record"), sep), _ddl(cells), options)
+    rows = records.select("file", "first", parsed.alias("row"))
+    names = F.to_json(F.array(*[F.lit(c) for c in cells.names]))
+    found = F.to_json(F.array(*[F.coalesce(F.col("row").getField(c), F.lit(c)) for c in cells.names]))
+    other = F.raise_error(F.concat(F.lit("another header in "), "file")).cast("boolean")
+    body = F.when(F.col("first"), F.when(found == names, F.lit(False)).otherwise(other)).otherwise(F.lit(True))
+    return rows.filter(body).select("row.*")
+
+
+def _ddl(cells: T.StructType) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` STRING" for c in cells.names)
+
+
 def read_typed_table(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", multi_line: bool = False
 ) -> DataFrame:
@@ -57,10 +77,10 @@ def with_keys(df: DataFrame, entity: str = "zcta5", period: str = "year") -> Dat
 
 def read_keyed(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-    entity: str = "zcta5", period: str = "year",
+    entity: str = "zcta5", period: str = "year", sep: str = ",", multi_line: bool = False,
 ) -> DataFrame:
     """Keyed panel table: Parquet, or delimited text when a schema is given."""
-    df = read_table(spark, path) if schema is None else read_typed_table(spark, path, schema)
+    df = read_table(spark, path) if schema is None else read_typed_table(spark, path, schema, sep, multi_line)
     return with_keys(df, entity, period)
 
 

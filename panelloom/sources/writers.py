@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-    sort_by: Sequence[str] = (), mode: str = "overwrite",
+    sort_by: Sequence[str] = (), mode: str = "overwrite", sep: str = ",",
 ) -> None:
     """Write a table, optionally partitioned by low-cardinality columns such as the year.
 
@@ -21,7 +21,7 @@ def write_table(
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.options(
-            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True, sep=sep, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
