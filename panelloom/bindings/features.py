@@ -9,7 +9,8 @@ from panelloom.bindings.common import fixed, fx, table, whole
 from panelloom.functions.scalars import log1p, log_positive, positive, safe_divide, sum_any
 from panelloom.operators.groups import share_of_group, zscore
 from panelloom.operators.joins import expand_periods, join_many_to_one
-from panelloom.operators.ordering import exact_quantiles, percent_rank_average
+from panelloom.operators.ordering import percent_rank_average
+from panelloom.operators.radix import exact_quantiles
 from panelloom.operators.pivoting import add_rates, category_count, category_sums, category_totals
 from panelloom.plans.category_pivot import build_category_pivot_features
 from panelloom.plans.event_rates import add_rates_and_logs, area_totals

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import flag_number, nan_to_null
-from panelloom.operators.ordering import exact_quantiles
+from panelloom.operators.radix import exact_quantiles
 from panelloom.operators.rowsets import keep_by_priority
 
 FEATURES = "features"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import finite, number_of, positive
 from panelloom.operators.joins import join_one_to_one
-from panelloom.operators.ordering import exact_quantiles
+from panelloom.operators.radix import exact_quantiles
+from panelloom.session import materialize
 from panelloom.operators.rowsets import union_missing
 
 # Column names of the consolidated error table, in output order.
@@ -38,14 +39,15 @@ def add_relative_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame
 def error_summary(df: DataFrame, model: str = "model") -> DataFrame:
     """Percent error metrics per model over the rows with a finite relative error.
 
-    The few groups are huge, so the median and the 90th percentile come from
-    range-partitioned distinct values, never from one group's buffer.
+    The few groups are huge, so the median and the 90th percentile come from histograms,
+    never from one group's buffer. The errors are written once, as three passes read them.
     """
     signed, size = F.col("_signed"), F.col("_size")
     valid = df.select(
         model, finite(F.col("relative_error")).alias("_signed"),
         finite(F.col("absolute_relative_error")).alias("_size"),
     ).filter(signed.isNotNull() & size.isNotNull())
+    valid = materialize(valid, "errors")
     totals = valid.groupBy(model).agg(
         F.count("*").cast("double").alias("rows"),
         (F.avg(signed) * 100.0).alias("mean_error_pct"),

@@ -1,16 +1,14 @@
 """Exact order statistics inside groups of any size.
 
-A window over a whole group runs in one task, and the built-in exact percentile keeps a
-group's values in one buffer. Neither is used. Tables are cut into value ranges: rows are
+A window over a whole group runs in one task. Instead tables are cut into value ranges: rows are
 range-partitioned by (group, value), every range counts its own weight, and a running sum
-over the ranges gives each range its starting position.
+over the ranges gives each range its starting position. Quantiles need no order: see
+:mod:`panelloom.operators.radix`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +18,6 @@ from panelloom.session import materialize
 
 _SLICE, _BASE, _INNER = "_slice", "_base", "_inner"
 
-# The quantile sketch is off by at most 1 / _SKETCH of the rows; brackets are wider than that.
-_SKETCH = 10_000
-_MARGIN = 5 / _SKETCH
-
 
 def _before(group: Sequence[str], order: Sequence[Column]):
     return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -86,116 +80,6 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str, **options)
     return running_weight(counts, group, [F.col(value)], "n", **options)
 
 
-def _interpolate(lo: Column, hi: Column, q: float, total: Column) -> Column:
-    at = F.lit(float(q)) * (total - 1)
-    return lo + (hi - lo) * (at - F.floor(at))
-
-
-def _pick(value: Column, start: Column, n: Column, index: Column, where: Column) -> Column:
-    """Within ``where``, the value whose run of equal rows covers the 0-based ``index``."""
-    return F.max(F.when(where & (start <= index) & (index < start + n), value))
-
-
-def _quantiles_by_position(df: DataFrame, group: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
-    """Quantiles from the positions of all distinct values."""
-    placed = value_positions(df, group, "_v")
-    v, start, n, total = F.col("_v"), F.col("below"), F.col("n"), F.col("total")
-    picks = []
-    for i, q in enumerate(quantiles.values()):
-        at = F.lit(float(q)) * (total - 1)
-        picks += [
-            _pick(v, start, n, F.floor(at), F.lit(True)).alias(f"_lo_{i}"),
-            _pick(v, start, n, F.ceil(at), F.lit(True)).alias(f"_hi_{i}"),
-        ]
-    found = placed.groupBy(*group).agg(F.max("total").alias("_total"), *picks)
-    return found.select(
-        *group,
-        *[
-            _interpolate(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"), q, F.col("_total")).alias(name)
-            for i, (name, q) in enumerate(quantiles.items())
-        ],
-    )
-
-
-def exact_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, quantiles: Mapping[str, float]
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``quantiles``.
-
-    Meant for few groups of any size. A mergeable sketch brackets every quantile, then a
-    second scan counts the rows below each bracket and keeps only the distinct values inside
-    (about a thousandth of the rows), so the data itself is never shuffled. A group whose
-    bracket misses is solved from the positions of all its values.
-    """
-    group = list(group)
-    if not group:
-        return exact_quantiles(df.withColumn("_everything", F.lit(0)), ["_everything"], value, quantiles).drop("_everything")
-    known = df.select(*group, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    points = [p for q in quantiles.values() for p in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
-    brackets = materialize(
-        known.groupBy(*group).agg(F.percentile_approx("_v", points, _SKETCH).alias("_edges")), "brackets"
-    )
-    v, ids = F.col("_v"), range(len(quantiles))
-    low, high = ([F.col("_edges")[2 * i + k] for i in ids] for k in (0, 1))
-    inside = reduce(or_, [v.between(low[i], high[i]) for i in ids])
-    cells = materialize(
-        match_nulls(known, brackets, group)
-        .groupBy(*group, F.when(inside, v).alias("_cell"))
-        .agg(
-            F.count("*").alias("n"),
-            *[F.count_if(v < low[i]).alias(f"_below_{i}") for i in ids],
-            *[F.min(low[i]).alias(f"_low_{i}") for i in ids],
-            *[F.max(high[i]).alias(f"_high_{i}") for i in ids],
-        ),
-        "cells",
-    )
-    cell, n = F.col("_cell"), F.col("n")
-    # Rows below a bracket minus the kept ones among them: what to add to a kept row's position.
-    shifts = cells.groupBy(*group).agg(
-        F.sum("n").alias("_total"),
-        *[
-            (F.sum(f"_below_{i}") - F.coalesce(F.sum(F.when(cell < F.col(f"_low_{i}"), n)), F.lit(0))).alias(
-                f"_shift_{i}"
-            )
-            for i in ids
-        ],
-    )
-    kept = cells.filter(cell.isNotNull()).drop(*[f"_below_{i}" for i in ids])
-    placed = match_nulls(
-        running_weight(kept, group, [cell], "n", stored=True).drop("total"), shifts, group
-    )
-    picks = []
-    for i, q in enumerate(quantiles.values()):
-        at = F.lit(float(q)) * (F.col("_total") - 1)
-        start = F.col("below") + F.col(f"_shift_{i}")
-        own = cell.between(F.col(f"_low_{i}"), F.col(f"_high_{i}"))
-        picks += [
-            _pick(cell, start, n, F.floor(at), own).alias(f"_lo_{i}"),
-            _pick(cell, start, n, F.ceil(at), own).alias(f"_hi_{i}"),
-        ]
-    solved = placed.groupBy(*group).agg(F.max("_total").alias("_total"), *picks)
-    found = materialize(
-        solved.select(
-            *group,
-            *[
-                _interpolate(F.col(f"_lo_{i}"), F.col(f"_hi_{i}"), q, F.col("_total")).alias(name)
-                for i, (name, q) in enumerate(quantiles.items())
-            ],
-        ),
-        "quantiles",
-    )
-    missed = reduce(or_, [F.col(name).isNull() for name in quantiles])
-    if found.filter(missed).isEmpty():
-        return found
-    again = _semi_nulls(known, found.filter(missed), group)
-    return found.filter(~missed).unionByName(_quantiles_by_position(again, group, quantiles))
-
-
-def _semi_nulls(df: DataFrame, keys: DataFrame, group: Sequence[str]) -> DataFrame:
-    marked = match_nulls(df, keys.select(*group, F.lit(True).alias("_hit")), group)
-    return marked.filter("_hit").drop("_hit")
-
-
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, **options) -> DataFrame:
     """1-based position of every row inside its group."""
     ranked = running_weight(df.withColumn("_one", F.lit(1)), group, order, "_one", **options)

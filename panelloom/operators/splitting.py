@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.scalars import known
 from panelloom.operators.joins import match_nulls
-from panelloom.operators.ordering import exact_quantiles
+from panelloom.operators.radix import exact_quantiles
 
 
 def valid_target(change: Column, level: Column, complete: Column | None) -> Column:

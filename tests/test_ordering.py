@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from panelloom.operators import ordering
-from panelloom.operators.ordering import exact_quantiles, number_rows, percent_rank_average, running_weight
+from panelloom.operators.ordering import number_rows, percent_rank_average, running_weight
+from panelloom.operators.radix import exact_quantiles, from_ordered_bits, ordered_bits
 
 
 @pytest.fixture(scope="module", params=["ties", "spread"])
@@ -84,16 +84,41 @@ def test_quantiles_interpolate(spark, sample):
     _check(exact_quantiles(_spark(spark, sample), ["g"], "v", QUANTILES), _expected(sample))
 
 
-def test_quantiles_when_the_sketch_is_coarse(spark, sample, monkeypatch):
-    """Brackets that miss fall back to the exact positions."""
-    monkeypatch.setattr(ordering, "_SKETCH", 3)
-    monkeypatch.setattr(ordering, "_MARGIN", 0.0)
-    _check(exact_quantiles(_spark(spark, sample), ["g"], "v", QUANTILES), _expected(sample))
-
-
-def test_quantiles_by_position(spark, sample):
-    known = _spark(spark, sample).withColumnRenamed("v", "_v").filter("_v IS NOT NULL")
-    _check(ordering._quantiles_by_position(known, ["g"], QUANTILES), _expected(sample))
+def test_quantiles_send_histograms_only(spark, sample):
+    """Two aggregates over the rows, both combined in the tasks; nothing is ranged or sorted."""
+    found = exact_quantiles(_spark(spark, sample), ["g"], "v", QUANTILES)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Python" not in plan
+
+
+def test_ordered_bits_order_like_doubles(spark):
+    rng = np.random.default_rng(0)
+    bits = rng.integers(-(2**63), 2**63 - 1, 4000)
+    values = bits.view(np.float64)
+    edges = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, np.inf, -np.inf, 1.0, np.nextafter(1.0, 0), np.nextafter(1.0, 2)]
+    powers = [f(2.0**e, 0) if f else 2.0**e for e in range(-1070, 1024, 7) for f in (None, np.nextafter)]
+    values = [float(v) for v in [*values[np.isfinite(values)], *edges, *powers]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("k"))
+    got = rows.select("v", "k", from_ordered_bits(F.col("k")).alias("back")).collect()
+    for r in got:
+        want = int(np.float64(abs(r["v"])).view(np.int64))
+        assert r["k"] == (-want if r["v"] < 0 else want) and r["back"] == r["v"]
+    odd = spark.createDataFrame([(float("nan"),), (None,), (float("inf"),)], "v double").select(ordered_bits(F.col("v")).alias("k"))
+    nan, none, inf = [r["k"] for r in odd.collect()]
+    assert nan > inf and none is None
+
+
+def test_quantiles_of_wide_and_tied_values(spark):
+    pick = random.Random(9)
+    rows = [(pick.choice("ab"), pick.choice([pick.gauss(0, 1), 10.0 ** pick.randint(-300, 300), -(10.0 ** pick.randint(-300, 300)), 7.0, 0.0, 5e-324])) for _ in range(4000)]
+    found = {r["g"]: r for r in exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", QUANTILES).collect()}
+    for g in "ab":
+        own = sorted(v for k, v in rows if k == g)
+        for name, q in QUANTILES.items():
+            at = q * (len(own) - 1)
+            lo, hi = own[int(np.floor(at))], own[int(np.ceil(at))]
+            assert found[g][name] == lo + (hi - lo) * (at - np.floor(at))
 
 
 def test_quantile_of_one_row_and_without_groups(spark):
