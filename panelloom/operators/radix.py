@@ -19,7 +19,7 @@ from panelloom.operators.joins import match_nulls
 from panelloom.session import materialize
 
 #: Bits below each digit. The first digit is sign, exponent and 8 bits of the fraction: 256 bins per power of two.
-_SHIFTS = (44, 29, 14, 0)
+SHIFTS = (44, 29, 14, 0)
 _FRACTION, _BIAS = 52, 1023
 
 
@@ -88,14 +88,14 @@ def exact_quantiles(
         return exact_quantiles(df.withColumn("_everything", F.lit(0)), ["_everything"], value, quantiles).drop("_everything")
     known = df.select(*group, ordered_bits(F.col(value).cast("double")).alias("_key")).filter(F.col("_key").isNotNull())
     prefix = lambda shift: F.shiftright("_key", shift)
-    first = known.groupBy(*group, prefix(_SHIFTS[0]).alias("_bin")).agg(F.count("*").alias("n"))
+    first = known.groupBy(*group, prefix(SHIFTS[0]).alias("_bin")).agg(F.count("*").alias("n"))
     chosen = materialize(_chosen(first, group, quantiles, None).drop("n"), "bins")
-    keyed = known.withColumn("_bin", prefix(_SHIFTS[0]))
+    keyed = known.withColumn("_bin", prefix(SHIFTS[0]))
     bins = chosen.select(*group, "_bin", F.lit(True).alias("_in"))
     cells = match_nulls(keyed, bins, [*group, "_bin"]).filter("_in").groupBy(*group, "_bin", "_key").agg(F.count("*").alias("n"))
     cells = materialize(cells, "cells")
     parent = [*group, "_bin"]
-    for before, shift in zip(_SHIFTS, _SHIFTS[1:], strict=False):
+    for before, shift in zip(SHIFTS, SHIFTS[1:], strict=False):
         inside = match_nulls(cells.withColumn("_bin", prefix(before)), chosen, parent).filter(F.col("_below").isNotNull())
         counted = inside.groupBy(*group, F.col("_bin").alias("_up"), "_below", "_total", prefix(shift).alias("_bin")).agg(F.sum("n").alias("n"))
         last = _chosen(counted.withColumnRenamed("_below", "_base"), [*group, "_up"], quantiles, "_base")

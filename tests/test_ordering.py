@@ -5,8 +5,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from panelloom.operators import ordering
 from panelloom.operators.ordering import number_rows, percent_rank_average, running_weight
 from panelloom.operators.radix import exact_quantiles, from_ordered_bits, ordered_bits
+from panelloom.session import materialize
 
 
 @pytest.fixture(scope="module", params=["ties", "spread"])
@@ -30,15 +32,56 @@ def _spark(spark, sample):
     return spark.createDataFrame(sample, "id long, g string, v double").repartition(6)
 
 
-@pytest.mark.parametrize("ranges", [None, 1, 5])
-def test_percent_rank_matches_average_rank(spark, sample, ranges):
+@pytest.mark.parametrize("values", [1 << 20, 3])
+def test_percent_rank_matches_average_rank(spark, sample, values):
     pdf = _pandas(sample)
     want = pdf.groupby("g", dropna=False)["v"].rank(pct=True, method="average")
-    got = percent_rank_average(_spark(spark, sample), ["g"], {"v": "p"}, ranges=ranges).toPandas()
+    got = percent_rank_average(_spark(spark, sample), ["g"], {"v": "p"}, values).toPandas()
     got = got.sort_values("id")["p"].to_numpy(dtype=float)
     np.testing.assert_allclose(got, want.to_numpy(), rtol=1e-12)
 
 
+def test_several_columns_move_the_rows_once(spark, sample):
+    df = _spark(spark, sample).selectExpr("*", "-v AS w", "v % 7 AS x", "CAST(NULL AS double) AS y", "'payload' AS z")
+    pdf = _pandas(sample)
+    columns = {c: f"p_{c}" for c in "vwxy"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = percent_rank_average(df, ["g"], columns, 3)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        got = ranked.toPandas().sort_values("id")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("Exchange" in line for line in plan.splitlines()) == 2  # the rows once, the gathered ranks once
+    pdf = pdf.assign(w=-pdf["v"], x=np.fmod(pdf["v"], 7), y=np.nan)
+    for c in "vwxy":
+        want = pdf.groupby("g", dropna=False)[c].rank(pct=True, method="average")
+        np.testing.assert_allclose(got[f"p_{c}"].to_numpy(dtype=float), want.to_numpy(), rtol=1e-12)
+
+
+def test_rows_without_a_value_are_spread(spark):
+    """Ten thousand NULLs of one group do not meet in one partition."""
+    df = spark.range(10_000).select("id", F.lit("g").alias("g"), F.when(F.col("id") < 9, F.col("id").cast("double")).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = percent_rank_average(df, ["g"], {"v": "p"})
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id().alias("at")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2000 and ranked.filter("p IS NOT NULL").count() == 9
+
+
+def test_ranges_follow_the_size(spark, monkeypatch):
+    table = materialize(spark.range(50_000).withColumn("w", F.lit(1)), "sized")
+    assert ordering.ranges_for(table) == 1
+    monkeypatch.setattr(ordering, "RANGE_BYTES", 10_000)
+    assert ordering.ranges_for(table) > 5
+    placed = running_weight(table, [], [F.col("id")], "w", stored=True)
+    assert placed.filter("below <> id OR total <> 50000").count() == 0
+
+
 @pytest.mark.parametrize("ranges", [None, 1, 5])
 def test_number_rows_descending_with_tie_break(spark, sample, ranges):
     pdf = _pandas(sample).sort_values(["v", "id"], ascending=[False, True], na_position="last")
