@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from panelloom.bindings.common import fixed, fx, table, whole
 from panelloom.functions.scalars import known, log_growth
 from panelloom.models.preprocessing import fit_preprocessor
-from panelloom.models.regressors import coefficient_rollup, fit_ridge, permutation_importance
+from panelloom.models.regressors import affine_draws, coefficient_rollup, fit_ridge, permutation_importance
 from panelloom.operators.evaluation import (
     SUMMARY_COLUMNS,
     add_relative_errors,
@@ -21,7 +23,7 @@ from panelloom.operators.evaluation import (
 from panelloom.operators.groups import with_group_values
 from panelloom.operators.joins import next_period
 from panelloom.operators.rowsets import best_and_worst, top_rows
-from panelloom.plans.forecast import Target, boosted, evaluate_holdout, fit_and_score, forest, ridge
+from panelloom.plans.forecast import RIDGE_ALPHA, Target, boosted, evaluate_holdout, fit_and_score, forest, ridge
 from panelloom.session import materialize
 
 # -- errors of two simple forecasts of an order's value ------------------------------------
@@ -102,6 +104,7 @@ TARGET = Target("log_change", "price", "next_price", "pred_price")
 NUMERIC = ["quantity", "discount", "log_price"]
 BOOLEAN = ["returned"]
 CATEGORICAL = ["p_type"]
+KINDS = ["ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"]  # of the parts, but the one that was blanked
 FIRST, LAST, TEST_YEAR = 1996, 1999, 2000
 
 
@@ -139,7 +142,7 @@ def preprocessing_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_test(spark, sf_dir)
     pre = fit_preprocessor(train, NUMERIC, BOOLEAN, CATEGORICAL)
     rows = [(c, pre.medians.get(c), pre.means[c], pre.scales[c], None, None) for c in [*NUMERIC, *BOOLEAN]]
-    rows += [(c, None, None, None, pre.modes[c], len(pre.levels[c])) for c in CATEGORICAL]
+    rows += [(c, None, None, None, pre.modes[c], pre.sizes[c]) for c in CATEGORICAL]
     out = spark.createDataFrame(
         rows, "feature string, median double, mean double, scale double, mode string, n_levels long"
     )
@@ -171,12 +174,18 @@ def _scored(spark: SparkSession, sf_dir: str, name: str, fit) -> DataFrame:
     return evaluate_holdout(scored, TARGET)
 
 
+def _linear(spark: SparkSession, sf_dir: str, name: str, fit) -> DataFrame:
+    """The report of a linear fit, rounded so that two solvers agree."""
+    out = _scored(spark, sf_dir, name, fit)
+    return out.select("model", *[fixed(F.col(c), 2 if "dollars" in c else 4).alias(c) for c in out.columns if c != "model"])
+
+
 def ridge_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, "ridge_linear_regression", ridge())
+    return _linear(spark, sf_dir, "ridge_linear_regression", ridge())
 
 
 def ols_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, "ols_linear_regression", ridge(0.0))
+    return _linear(spark, sf_dir, "ols_linear_regression", ridge(0.0))
 
 
 def rf_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,9 +204,15 @@ def _ridge(spark: SparkSession, sf_dir: str, alpha: float = 10.0):
 
 
 def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ridge's coefficients; without a penalty those of the levels are not determined, so plain least squares has none of them."""
     pre, encoded, _, model = _ridge(spark, sf_dir)
-    plain = fit_ridge(encoded, "log_change", 0.0)
-    return coefficient_rollup({"ridge": (model, pre), "ols": (plain, pre)}, encoded)
+    train, _ = _train_test(spark, sf_dir)
+    numbers = fit_preprocessor(train, NUMERIC, BOOLEAN)
+    plain = fit_ridge(materialize(numbers.transform(train).select("log_change", "features"), "encoded"), "log_change", 0.0)
+    out = coefficient_rollup({"ridge": (model, pre), "ols": (plain, numbers)}, encoded)
+    return out.select(
+        "model", "feature", *[fixed(F.col(c), 6).alias(c) for c in ("max_abs_coefficient", "sum_abs_coefficient")], "coefficient_terms"
+    )
 
 
 def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +221,7 @@ def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     pre = fit_preprocessor(train, NUMERIC, BOOLEAN, CATEGORICAL)
     slots = vector_to_array("features")
     out = pre.transform(test).select("l_partkey", whole(F.col("year")).alias("year"), slots.alias("_slots"))
-    names = [term.replace("=", "_").lower() for _, term in pre.terms]
+    names = [*NUMERIC, *BOOLEAN, *[f"p_type_{k.lower()}" for k in KINDS]]
     return out.select("l_partkey", "year", *[fixed(F.col("_slots")[i]).alias(n) for i, n in enumerate(names)])
 
 
@@ -223,10 +238,15 @@ def one_feature_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEED, REPEATS = 0, 3
+
+
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six columns whose permutation hurts the ridge most."""
     pre, _, test, model = _ridge(spark, sf_dir)
-    found = permutation_importance(model, pre, test, "log_change", ["l_partkey", "year"], repeats=3)
-    return top_rows(found, [F.desc("importance_mean_log_mae"), F.col("feature")], 6)
+    found = permutation_importance(model, pre, test, "log_change", ["l_partkey", "year"], repeats=REPEATS, seed=SEED)
+    top = top_rows(found, [F.desc("importance_mean_log_mae"), F.col("feature")], 6)
+    return top.select("feature", *[fixed(F.col(c), 7).alias(c) for c in ("importance_mean_log_mae", "importance_std_log_mae")])
 
 
 QUERIES = {
@@ -384,7 +404,7 @@ SELECT l_partkey, year, """
         f"{fx(_scaled_sql(c))} AS {c}" for c in NUMERIC
     )
     + f", {fx('(returned::INT - (SELECT avg(returned::INT) FROM train)) / (SELECT stddev_pop(returned::INT) FROM train)')} AS returned, "
-    + ", ".join(f"(kind = '{k}')::INT::DOUBLE AS p_type_{k.lower()}" for k in ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"))
+    + ", ".join(f"(kind = '{k}')::INT::DOUBLE AS p_type_{k.lower()}" for k in KINDS)
     + " FROM t",
     "one_feature_coefficients": f"""WITH {_PANEL_SQL},
 z AS (SELECT (log_price - avg(log_price) OVER ()) / stddev_pop(log_price) OVER () AS z, log_change AS y FROM train),
@@ -397,3 +417,106 @@ SELECT model, 'log_price' AS feature, {fx('w', 6)} AS max_abs_coefficient, {fx('
     + ", ".join(f"{fx(e)} AS {c}" for c, e in _NO_CHANGE.items())
     + " FROM test",
 }
+
+
+def _filled_sql(of: str) -> str:
+    """Rows of ``of`` as the encoder sees them: medians and the mode of the training rows where a value is missing."""
+    columns = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM train)) AS {c}" for c in NUMERIC)
+    return (
+        f"SELECT l_partkey, year, price, next_price, log_change AS y, {columns}, coalesce(returned, false)::INT::DOUBLE AS returned, "
+        f"coalesce(p_type, (SELECT p_type FROM train WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, p_type LIMIT 1)) AS p_type FROM {of}"
+    )
+
+
+def _vector_sql(kinds: list[str], source: Callable[[str], str] = str) -> str:
+    """The feature vector, every column read from what ``source`` makes of its name."""
+    plain = [f"({source(c)} - m_{c}) / s_{c}" for c in [*NUMERIC, *BOOLEAN]]
+    hot = [f"({source('p_type')} = '{k}')::INT::DOUBLE" for k in kinds]
+    return "[" + ", ".join([*plain, *hot]) + "]"
+
+
+def _solved_sql(name: str, alpha: float, kinds: list[str]) -> str:
+    """Least squares with penalty ``alpha`` by Gauss-Jordan elimination: ``name`` has weights, column means and the mean."""
+    p = len(NUMERIC) + len(BOOLEAN) + len(kinds)
+    row = lambda i: ", ".join(
+        [f"covar_pop(x[{i}], x[{j}]) * count(*)" + (f" + {alpha!r}" if i == j else "") for j in range(1, p + 1)] + [f"covar_pop(x[{i}], y) * count(*)"]
+    )
+    return f"""
+{name}_x AS (SELECT y, {_vector_sql(kinds)} AS x FROM f_train, moments),
+{name}_gj(k, a) AS (
+  SELECT 1::BIGINT, [{", ".join(f"[{row(i)}]" for i in range(1, p + 1))}] FROM {name}_x
+  UNION ALL
+  SELECT k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / a[k][k])
+                               ELSE list_transform(r, lambda v, j: v - r[k] * a[k][j] / a[k][k]) END)
+  FROM {name}_gj WHERE k <= {p}),
+{name} AS (
+  SELECT list_transform(a, lambda r: r[{p + 1}]) AS w, yb, mx FROM {name}_gj,
+         (SELECT avg(y) AS yb, [{", ".join(f"avg(x[{i}])" for i in range(1, p + 1))}] AS mx FROM {name}_x)
+  WHERE k = {p + 1})"""
+
+
+_FITTED_SQL = f"""WITH RECURSIVE {_PANEL_SQL.strip()},
+f_train AS ({_filled_sql("train")}),
+f_test AS ({_filled_sql("test")}),
+moments AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in [*NUMERIC, *BOOLEAN])} FROM f_train)"""
+
+
+def _predicted_sql(vector: str) -> str:
+    return f"yb + list_inner_product({vector}, w) - list_inner_product(mx, w)"
+
+
+def _report_sql(name: str, alpha: float, kinds: list[str]) -> str:
+    """The holdout report of a linear fit and of 'no change'."""
+    figures = {**_all_fit_sql("price", "next_price", "p"), **_summary_sql("((p - next_price) / next_price)")}
+    shown = ", ".join(f"{fx(e, 2 if 'dollars' in c else 4)} AS {c}" for c, e in figures.items())
+    return f"""{_FITTED_SQL}, {_solved_sql("fit", alpha, kinds)},
+scored AS (
+  SELECT '{name}' AS model, price, next_price, price * exp({_predicted_sql(_vector_sql(kinds))}) AS p FROM f_test, moments, fit
+  UNION ALL SELECT 'no_change', price, next_price, price FROM test)
+SELECT model, {shown} FROM scored GROUP BY 1"""
+
+
+_SOURCES = [*NUMERIC, *BOOLEAN, *CATEGORICAL]
+#: The plain fit has no level columns: without a penalty their coefficients are not determined.
+_TERMS = [(c, [i]) for i, c in enumerate([*NUMERIC, *BOOLEAN], 1)]
+_HOT = [("p_type", list(range(len(_TERMS) + 1, len(_TERMS) + len(KINDS) + 1)))]
+
+
+def _rollup_sql(model: str, fit: str, terms: list[tuple[str, list[int]]]) -> str:
+    rows = []
+    for feature, slots in terms:
+        sizes = "[" + ", ".join(f"abs(w[{i}])" for i in slots) + "]"
+        rows.append(
+            f"SELECT '{model}' AS model, '{feature}' AS feature, {fx(f'list_max({sizes})', 6)} AS max_abs_coefficient, "
+            f"{fx(f'list_sum({sizes})', 6)} AS sum_abs_coefficient, {len(slots)}::BIGINT AS coefficient_terms FROM {fit}"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _swapped(column: str) -> str:
+    """The column of row ``a``, or of its donor ``b`` where it is the one that is permuted."""
+    return f"(CASE WHEN which = {_SOURCES.index(column)} THEN b.{column} ELSE a.{column} END)"
+
+
+ORACLES |= {
+    "ridge_fit_predict": _report_sql("ridge_linear_regression", RIDGE_ALPHA, KINDS),
+    # The levels sum to one, so plain least squares forecasts the same without the last of them.
+    "ols_fit_predict": _report_sql("ols_linear_regression", 0.0, KINDS[:-1]),
+    "coefficient_rollup": f"""{_FITTED_SQL}, {_solved_sql("penalised", 10.0, KINDS)}, {_solved_sql("plain", 0.0, [])}
+{_rollup_sql("ridge", "penalised", _TERMS + _HOT)} UNION ALL {_rollup_sql("ols", "plain", _TERMS)}""",
+    "permutation_importance": f"""{_FITTED_SQL}, {_solved_sql("fit", 10.0, KINDS)},
+numbered AS (SELECT *, row_number() OVER (ORDER BY l_partkey, year) - 1 AS i, count(*) OVER () AS n FROM f_test),
+draw(r, u, v) AS (VALUES {", ".join(f"({r}, {u}, {v})" for r, (u, v) in enumerate(affine_draws(REPEATS, SEED)))}),
+step AS (
+  SELECT r, n, (SELECT min(a) FROM (SELECT unnest(range(1 + (n * u >> 20), 2 * n + 2)) AS a) WHERE gcd(a, n) = 1) AS a, n * v >> 20 AS b
+  FROM draw, (SELECT count(*) AS n FROM f_test)),
+e AS (
+  SELECT step.r, which, avg(abs(a.y - ({_predicted_sql(_vector_sql(KINDS, _swapped))}))) AS mae
+  FROM numbered a, step, (SELECT unnest(range({len(_SOURCES) + 1})) AS which), moments, fit, numbered b
+  WHERE b.i = (step.a * a.i + step.b) % step.n GROUP BY ALL),
+g AS (
+  SELECT ['{"', '".join(_SOURCES)}'][e.which + 1] AS feature, e.mae - p.mae AS rise
+  FROM e JOIN e p ON p.r = e.r AND p.which = {len(_SOURCES)} WHERE e.which < {len(_SOURCES)})
+SELECT feature, {fx('avg(rise)', 7)} AS importance_mean_log_mae, {fx('stddev_pop(rise)', 7)} AS importance_std_log_mae
+FROM g GROUP BY 1 ORDER BY avg(rise) DESC, feature LIMIT 6""",
+}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
+from math import gcd
 from typing import Any
 
 from pyspark.ml.regression import (
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelloom.models.preprocessing import FEATURES, Preprocessor
 from panelloom.operators.ordering import running_weight
+from panelloom.operators.rowsets import union_same
 from panelloom.session import materialize
 
 
@@ -47,16 +50,18 @@ def fit_boosted(encoded: DataFrame, label: str, seed: int = 0, **options: Any):
 
 
 def coefficient_rollup(models: dict[str, tuple[LinearRegressionModel, Preprocessor]], df: DataFrame) -> DataFrame:
-    """Largest and summed |coefficient| per model and source column, with the number of terms."""
-    rows = [
-        (name, source, term, float(w))
-        for name, (model, pre) in models.items()
-        for (source, term), w in zip(pre.terms, model.coefficients)
-    ]
-    table = df.sparkSession.createDataFrame(rows, "model string, feature string, term string, w double")
-    return table.groupBy("model", "feature").agg(
-        F.max(F.abs("w")).alias("max_abs_coefficient"),
-        F.sum(F.abs("w")).alias("sum_abs_coefficient"),
+    """Largest and summed |coefficient| per model and source column, with the number of terms.
+
+    Terms are rows of a table; a term's coefficient is the model's answer to its unit vector, less the intercept.
+    """
+    parts = []
+    for name, (model, pre) in models.items():
+        units = pre.unit_vectors(df.sparkSession)
+        weight = F.abs(F.col("prediction") - F.lit(float(model.intercept)))
+        parts.append(model.transform(units).select(F.lit(name).alias("model"), "feature", weight.alias("_w")))
+    return union_same(*parts).groupBy("model", "feature").agg(
+        F.max("_w").alias("max_abs_coefficient"),
+        F.sum("_w").alias("sum_abs_coefficient"),
         F.count("*").alias("coefficient_terms"),
     )
 
@@ -67,29 +72,41 @@ def number_all(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return numbered.withColumnsRenamed({"below": "_at", "total": "_rows"}).drop("_one")
 
 
+def affine_draws(repeats: int, seed: int = 0) -> list[tuple[int, int]]:
+    """Per repeat, the multiplier and the offset of a permutation as parts of ``2**20``."""
+    rng = random.Random(seed)
+    return [(rng.randrange(1 << 18, 3 << 18), rng.randrange(1 << 20)) for _ in range(repeats)]
+
+
+def affine_permutation(n: int, draw: tuple[int, int]) -> tuple[int, int]:
+    """``(a, b)`` such that ``(a * i + b) mod n`` permutes ``0 .. n - 1`` and fits a long."""
+    top = min(n, (1 << 61) // max(n, 1))
+    a = 1 + (top * draw[0] >> 20)
+    while gcd(a, n) > 1:
+        a += 1
+    return a, n * draw[1] >> 20
+
+
 def permutation_importance(
     model: Any, pre: Preprocessor, rows: DataFrame, label: str, order: Sequence[str],
     repeats: int = 5, seed: int = 0,
 ) -> DataFrame:
     """Mean and deviation of the rise in absolute error when one source column is permuted.
 
-    Every repeat pairs each row with one donor row, so all columns share one equi-join; the
-    row is then scored once per column with that column taken from the donor. A donor
-    order is a second numbering by a seeded hash: both numberings are dense, hence a
-    permutation.
+    Rows are numbered once, by ``order``. In every repeat row ``i`` takes its values from row ``(a * i + b) mod n``,
+    so all columns share one equi-join and nothing is sorted again; the row is then scored once per column with that
+    column taken from the donor. No rows give no importance.
     """
     sources = pre.sources
-    base = materialize(number_all(pre.filled(rows).select(label, *order, *sources), order), "numbered")
+    numbered = number_all(pre.filled(rows).select(label, *order, *sources), order).drop("_rows")
+    base = materialize(numbered, "numbered")
+    n = base.count()  # of a stored table: its footers
+    donors = base.select(F.col("_at").alias("_from"), *[F.col(c).alias(f"_donor_{c}") for c in sources])
     scored = []
-    for r in range(repeats):
-        # The hash covers the row number, so equal rows do not stay together.
-        shuffled = base.select(
-            F.xxhash64(F.lit(seed * 1_000_003 + r), "_at").alias("_draw"),
-            "_at",
-            *[F.col(c).alias(f"_donor_{c}") for c in sources],
-        ).withColumnRenamed("_at", "_from")
-        donors = number_all(shuffled, ["_draw", "_from"]).drop("_draw", "_from", "_rows")
-        paired = base.drop("_rows").join(donors, "_at")
+    for r, draw in enumerate(affine_draws(repeats, seed)):
+        a, b = affine_permutation(n, draw)
+        donor = (F.col("_at") * F.lit(a) + F.lit(b)) % F.lit(max(n, 1))
+        paired = base.withColumn("_from", donor).join(donors, "_from").drop("_from")
         which = F.explode(F.array(*[F.lit(i) for i in range(len(sources) + 1)])).alias("_which")
         variants = paired.select("*", which)
         swapped = variants.withColumns(

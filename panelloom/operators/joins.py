@@ -130,3 +130,8 @@ def at_most_max_less_one(df: DataFrame, period: str, source: DataFrame) -> DataF
 def expand_periods(df: DataFrame, periods: Sequence[int], name: str) -> DataFrame:
     """One copy of every row per period of a known, short list."""
     return df.withColumn(name, F.explode(F.array(*[F.lit(int(p)) for p in periods])))
+
+
+def in_periods(df: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """One copy of every row per period found in ``source``: a one-row subquery of a few periods, no join."""
+    return df.withColumn(name, F.explode(source.agg(F.sort_array(F.collect_set(name))).scalar()))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.functions.scalars import nan_to_null
+from panelloom.operators.comoments import pair_correlations
 
 # Texts of a column that holds only yes/no entries.
 BOOLEAN_TEXTS = ["true", "false", "0", "1"]
@@ -70,58 +69,20 @@ def _numeric_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """|Pearson| of every numeric column pair over the rows where both are known.
 
-    A pair with a constant side has a NULL correlation. Each task turns its rows into one
-    set of small (columns x columns) cross products, so all pairs take a single scan; a
-    plain aggregate would hold three expressions per pair.
+    A pair with a constant side has a NULL correlation. All pairs take a single scan; see
+    :mod:`panelloom.operators.comoments`.
     """
     names = _numeric_columns(df, columns)
-    data = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in names])
     if len(names) < 2:
         return df.sparkSession.createDataFrame(
             [], "left_feature string, right_feature string, abs_correlation double"
         )
-    found = data.agg(
-        *[F.avg(c).alias(f"avg_{c}") for c in names],
-        *[F.min(c).alias(f"min_{c}") for c in names],
-        *[F.max(c).alias(f"max_{c}") for c in names],
-    ).first()
-    # Sums around the mean keep their digits; a constant column must become exactly zero.
-    flat = {c: found[f"min_{c}"] == found[f"max_{c}"] for c in names}
-    shift = np.array([(found[f"min_{c}"] if flat[c] else found[f"avg_{c}"]) or 0.0 for c in names])
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = len(names)
-        n, s, q, c = (np.zeros((p, p)) for _ in range(4))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - shift
-            seen = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x, nan=0.0)
-            n += seen.T @ seen
-            s += x.T @ seen
-            q += (x * x).T @ seen
-            c += x.T @ x
-        i, j = np.triu_indices(p, 1)
-        yield pd.DataFrame(
-            {"i": i, "j": j, "n": n[i, j], "sx": s[i, j], "sy": s[j, i],
-             "sxx": q[i, j], "syy": q[j, i], "sxy": c[i, j]}
-        )
-
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    total = data.mapInPandas(sums, schema).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
-    )
-
-    def spread(square: str, first: str) -> Column:
-        around = F.col(square) - F.col(first) * F.try_divide(F.col(first), F.col("n"))
-        # Below this only rounding is left: the side is constant over the shared rows.
-        return F.when(around > F.col(square) * 1e-13, around)
-
-    cov = F.col("sxy") - F.col("sx") * F.try_divide(F.col("sy"), F.col("n"))
+    data = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in names])
     label = F.array(*[F.lit(c) for c in names])
-    return total.select(
+    return pair_correlations(data, names).select(
         label[F.col("i")].alias("left_feature"),
         label[F.col("j")].alias("right_feature"),
-        F.abs(cov / F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))).alias("abs_correlation"),
+        F.abs("correlation").alias("abs_correlation"),
     )
 
 

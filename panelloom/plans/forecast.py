@@ -59,7 +59,7 @@ def fit_and_score(
     The encoded training rows are written once and read by every fit.
     """
     pre = fit_preprocessor(train, numeric, boolean, categorical)
-    width = len(pre.terms)
+    width = pre.width
     encoded = materialize(
         pre.transform(train.filter(F.col(target.log_change).isNotNull())).select(target.log_change, "features"),
         "encoded",

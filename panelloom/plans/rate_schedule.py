@@ -11,7 +11,7 @@ from panelloom.functions.keys import has_prefix, pad_key, strip, strip_suffix_wo
 from panelloom.functions.scalars import first_label, known, number_of, strict_int, strict_number
 from panelloom.operators.aggregates import sum_or_zero
 from panelloom.operators.groups import with_group_values
-from panelloom.operators.joins import expand_periods, join_many_to_one, join_one_to_one
+from panelloom.operators.joins import in_periods, join_many_to_one
 from panelloom.operators.ordering import number_rows
 from panelloom.operators.rowsets import keep_by_priority, union_same
 from panelloom.session import materialize
@@ -86,23 +86,12 @@ def state_schedule(
 
 def backfill_rates(rates: DataFrame, schedule: DataFrame) -> DataFrame:
     """Add the state-wide rate of the years before the first input year to every place."""
-    first_input = rates.agg(F.min("year")).first()[0]
-    early = {r["year"]: r for r in schedule.filter(F.col("year") < first_input).collect()}  # a few years
+    first_input = rates.agg(F.min("year")).scalar()
+    early = schedule.filter(F.col("year") < first_input)
     places = rates.select("city", "county").distinct()
-    year = F.col("year")
-
-    if not early:
-        return rates
-
-    def rate(name: str) -> Column:
-        chain = F
-        for y, row in early.items():
-            chain = chain.when(year == y, F.lit(row[f"state_{name}"]))
-        return chain
-
-    filled = expand_periods(places, sorted(early), "year").withColumns(
+    given = early.select("year", *[F.col(f"state_{c}").alias(c) for c in _RATES])
+    filled = in_periods(places, early, "year").join(given, "year").withColumns(
         {
-            **{name: rate(name) for name in _RATES},
             "ordinance_type": F.lit(STATE_LAW),
             "minimum_wage_backfilled": F.lit(True),
             "minimum_wage_source_detail": F.lit("state_law_backfill_pre_input_years"),
@@ -122,8 +111,7 @@ def county_year_rates(clean: DataFrame, schedule: DataFrame) -> DataFrame:
             F.count_distinct("city").alias("county_ordinance_city_rows"),
         )
     )
-    years = [r["year"] for r in schedule.select("year").distinct().collect()]  # one row per year
-    grid = expand_periods(clean.select("county").distinct(), sorted(years), "year")
+    grid = in_periods(clean.select("county").distinct(), schedule, "year")
     first_input = clean.filter(~F.col("minimum_wage_backfilled")).agg(F.min("year")).scalar()
     state, local = F.col("state_minimum_wage_annual_avg"), F.col("county_ordinance_wage_annual_avg")
     joined = join_many_to_one(
@@ -211,13 +199,16 @@ def area_county_bridge(raw: DataFrame, prefix: str = STATE_PREFIX) -> DataFrame:
 
 
 def area_rates(bridge: DataFrame, county_year: DataFrame) -> DataFrame:
-    """Yearly rate of every area: its dominant county's, with the area-weighted mix beside it."""
+    """Yearly rate of every area: its dominant county's, with the area-weighted mix beside it.
+
+    The bridge is read once: the aggregate that mixes the counties of an area also carries the row of the dominant one.
+    """
     county_year = materialize(county_year, "county-year")
-    years = sorted(r["year"] for r in county_year.select("year").distinct().collect())  # one row per year
     by_year = join_many_to_one(
-        expand_periods(bridge, years, "year"), county_year, ["county", "year"], unique=True, store=False
+        in_periods(bridge, county_year, "year"), county_year, ["county", "year"], unique=True, store=False
     )
     share = F.col("zcta_county_area_share")
+    carried = [c for c in by_year.columns if c not in ("zcta5", "year")]
     # An unmatched county drops out of the sum without re-weighting the others.
     mixed = by_year.groupBy("zcta5", "year").agg(
         *[
@@ -228,8 +219,9 @@ def area_rates(bridge: DataFrame, county_year: DataFrame) -> DataFrame:
         ],
         F.bool_or("county_ordinance_record").alias("any_county_ordinance_record"),
         F.bool_or("county_ordinance_above_state").alias("any_county_ordinance_above_state"),
+        F.any_value(F.when(F.col("is_dominant_county"), F.struct(*carried)), True).alias("_dominant"),
     )
-    dominant = by_year.filter("is_dominant_county").withColumnsRenamed(
+    dominant = mixed.filter("_dominant IS NOT NULL").select("*", "_dominant.*").drop("_dominant").withColumnsRenamed(
         {
             "county": "dominant_county",
             "county_fips": "dominant_county_fips",
@@ -242,7 +234,7 @@ def area_rates(bridge: DataFrame, county_year: DataFrame) -> DataFrame:
         }
     )
     average = F.col("minimum_wage_dominant_county_annual_avg")
-    feature = join_one_to_one(dominant, mixed, ["zcta5", "year"], unique=True).withColumns(
+    feature = dominant.withColumns(
         {
             "minimum_wage_feature_method": F.lit("dominant_county_with_area_weighted_check"),
             "minimum_wage_for_model_annual_avg": average,

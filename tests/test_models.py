@@ -3,8 +3,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from panelloom.models.preprocessing import column_medians, column_modes, fit_preprocessor
+from panelloom.models.preprocessing import column_medians, column_modes, fit_preprocessor, level_counts
 from panelloom.models.regressors import (
+    affine_draws,
+    affine_permutation,
     coefficient_rollup,
     fit_ridge,
     number_all,
@@ -64,7 +66,7 @@ def test_ridge_matches_closed_form(frame, data):
 
 def test_unseen_category_and_missing_values_at_scoring(spark, frame):
     pre = fit_preprocessor(frame, NUMERIC, BOOLEAN, CATEGORICAL)
-    assert pre.levels == {"kind": ["x", "y", "z"]}
+    assert {(r["value"], r["level"]) for r in pre.levels.collect()} == {("x", 0), ("y", 1), ("z", 2)} and pre.sizes == {"kind": 3}
     odd = spark.createDataFrame(
         [(1, None, float("nan"), None, None, "new"), (2, 1.0, 1.0, 3.0, True, None)],
         "id long, a double, b double, const double, flag boolean, kind string",
@@ -81,7 +83,7 @@ def test_medians_and_modes(spark):
         [(1.0, "b"), (2.0, "a"), (3.0, "b"), (10.0, "a"), (float("nan"), None)], "v double, s string"
     ).withColumn("none", F.lit(None).cast("double"))
     assert column_medians(df, ["v", "none"]) == {"v": 2.5, "none": 0.0}
-    assert column_modes(df, ["s"]) == {"s": "a"}
+    assert column_modes(level_counts(df, ["s"]), ["s"]) == {"s": "a"}
 
 
 def test_coefficient_rollup(frame, rows):
@@ -120,3 +122,44 @@ def test_models_beat_no_change(frame, rows):
         assert report[name]["rows"] == 300.0
         assert report[name]["mape_pct"] < report["no_change"]["mape_pct"]
         assert report[name]["r2_log_change"] > 0
+
+
+def test_affine_permutations():
+    for n in (1, 2, 3, 12, 97, 210, 1000):
+        for draw in affine_draws(4, seed=n):
+            a, b = affine_permutation(n, draw)
+            assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+    for n in (10**6, 10**10, 2**60):
+        a, b = affine_permutation(n, affine_draws(1)[0])
+        assert a * (n - 1) + b < 2**63
+    assert affine_permutation(0, (1 << 19, 5)) == (1, 0)
+
+
+def test_importance_joins_once_per_repeat_and_sorts_nothing_again(frame):
+    pre = fit_preprocessor(frame, NUMERIC, BOOLEAN, CATEGORICAL)
+    model = fit_ridge(pre.transform(frame), "y", 1.0)
+    calls = []
+    kind = type(frame)
+    real = kind.repartitionByRange
+    kind.repartitionByRange = lambda self, *a, **k: calls.append(a) or real(self, *a, **k)
+    try:
+        found = permutation_importance(model, pre, frame, "y", ["id"], repeats=3)
+        empty = permutation_importance(model, pre, frame.limit(0), "y", ["id"], repeats=2)
+    finally:
+        kind.repartitionByRange = real
+    assert len(calls) == 2  # one numbering a call
+    assert found.count() == len(pre.sources)
+    assert all(r["importance_mean_log_mae"] is None for r in empty.collect())
+
+
+def test_levels_of_many_columns(spark):
+    rows = [(f"v{i % 7}", None, f"w{i % 3}" if i % 2 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "p string, none string, q string")
+    pre = fit_preprocessor(df, [], [], ["p", "none", "q"])
+    assert pre.sizes == {"p": 7, "none": 1, "q": 3} and pre.width == 11
+    terms = sorted((r["slot"], r["term"]) for r in pre.terms(spark).collect())
+    assert [s for s, _ in terms] == list(range(11)) and terms[7] == (7, "none=") and terms[10] == (10, "q=w2")
+    for r in pre.unit_vectors(spark).collect():
+        assert list(r["features"].toArray()) == [float(i == r["slot"]) for i in range(11)]
+    out = [r["features"].toArray() for r in pre.transform(df).collect()]
+    assert all(v.sum() == 3.0 and v[7] == 1.0 for v in out)

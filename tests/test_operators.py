@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from panelloom.operators import aggregates, evaluation, groups, joins, pivoting, profiling, quality, rowsets, splitting
+from panelloom.operators import aggregates, comoments, evaluation, groups, joins, pivoting, profiling, quality, rowsets, splitting
 
 
 def test_weighted_mean_falls_back(spark, rows):
@@ -144,10 +144,34 @@ def test_correlations_match_pandas(spark):
             assert r["abs_correlation"] is None
         else:
             assert r["abs_correlation"] == pytest.approx(x, rel=1e-6)
+    none = profiling.correlation_pairs(df.limit(0), list(pdf.columns)).collect()
+    assert len(none) == 21 and all(r["abs_correlation"] is None for r in none)
     audit = profiling.correlation_audit(df, list(pdf.columns)).collect()
     assert ("a", "e") in {(r["left_feature"], r["right_feature"]) for r in audit}
 
 
+def test_co_moments_by_task_and_in_a_tree(spark):
+    """A row per task (and band) is all that is exchanged; rounds of three merges give the same state as one pass."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (900, 5)) + [0, 1e9, -5, 3, 0]
+    x[:, 3] = 7.25
+    x[rng.random((900, 5)) < 0.3] = np.nan
+    one = comoments.batch_state(x)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcde"))).repartition(10)
+    states = comoments.task_states(df, 10)
+    assert states.count() == 10
+    for fan in (3, 64):
+        (row,) = comoments.tree_merged(states, fan).collect()
+        np.testing.assert_allclose(np.frombuffer(row["state"]).reshape(8, -1)[:6], one[:6], rtol=1e-6, atol=1e-4)
+    assert comoments.task_states(df, 10, band=4).count() == 30
+    found = comoments.pair_correlations(df, list("abcde"), band=4).collect()
+    want = pd.DataFrame(x).corr()
+    assert len(found) == 10
+    for r in found:
+        expected = want.iloc[r["i"], r["j"]]
+        assert r["correlation"] is None if 3 in (r["i"], r["j"]) else r["correlation"] == pytest.approx(expected, abs=1e-6)
+
+
 def test_folds_of_sparse_years(spark, rows):
     df = spark.createDataFrame([("a", 2015), ("a", 2016), ("b", 2016), ("b", 2017), ("b", 2017), (None, 2017)], "z string, year int")
     out = rows(splitting.fold_summary(df, "z", "year", [2016, 2017, 2020]), "fold")
