@@ -64,7 +64,7 @@ def cv_fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PROFILED = {
-    "orders": ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
     "labels": ["quality", "toxic"],
 }
 
@@ -268,6 +268,8 @@ FROM x""")
 
 
 _PROFILE_EXPR = {
+    "o_orderkey": ("o_orderkey", "numeric", "numeric"),
+    "o_orderdate": ("o_orderdate", "categorical", "categorical"),
     "o_custkey": ("o_custkey", "numeric", "numeric"),
     "o_orderstatus": ("o_orderstatus", "categorical", "categorical"),
     "o_totalprice": ("o_totalprice", "numeric", "numeric"),

@@ -18,8 +18,9 @@ from panelloom.plans.annual_panel import build_annual_panel
 from panelloom.plans.category_pivot import BUCKETS, build_category_pivot_features
 from panelloom.plans.composition import build_composition_features
 from panelloom.plans.event_rates import build_event_rate_features
-from panelloom.plans.rate_schedule import area_county_bridge, build_rate_schedule_features
+from panelloom.plans.rate_schedule import area_county_bridge, area_rates, build_rate_schedule_features
 from panelloom.plans.relative_scores import build_relative_scores
+from panelloom.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -216,6 +217,27 @@ def test_rate_schedule(spark, rows, wage_tables):
     assert f["90005", 2016]["minimum_wage_county_area_weighted_annual_avg"] == 0.0
 
 
+def test_rate_schedule_reads_the_bridge_once_and_collects_no_years(wage_tables, monkeypatch):
+    tables = build_rate_schedule_features(*wage_tables)
+    kind = type(tables["clean"])
+
+    def refused(self, *args):
+        raise AssertionError("rows on the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(kind, "collect", refused)
+        patch.setattr(kind, "first", refused)
+        features = area_rates(materialize(tables["bridge"], "bridge"), tables["county_year"])
+    text = features._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("county_fips#") and text.count("Relation [zcta5#") == 1  # one scan of the bridge
+    assert text.count("Join") == 1  # its counties' rates; the dominant row comes out of the aggregate
+
+
+def test_schedule_without_earlier_years(spark, rows, wage_tables):
+    clean = rows(build_rate_schedule_features(*wage_tables, early={})["clean"])
+    assert len(clean) == 5 and not any(r["minimum_wage_backfilled"] for r in clean)
+
+
 def test_event_rates(spark, rows):
     def crime(key, county, population, value):
         return {"Zipcode": key, "County": county, "Year": 2015, "Population": 1, "total_population": population, "Ratio": 0.5,
