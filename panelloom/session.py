@@ -22,6 +22,7 @@ SESSION_CONF = {
 
 _local_dirs: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -52,6 +53,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def new_table(spark: SparkSession, label: str) -> tuple[str, str]:
+    """Name and folder for an intermediate table of the catalog (a bucketed one); :func:`release` drops both."""
+    path = new_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name, path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
@@ -71,6 +80,8 @@ def release(spark: SparkSession) -> int:
     Call it once the results that read them are stored.
     """
     paths = _written.pop(spark.sparkContext.applicationId, [])
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
