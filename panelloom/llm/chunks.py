@@ -8,7 +8,6 @@ in a third of all documents costs one entry per chunk.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,9 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.session import shared_dir
+from panelloom.session import new_table
 
 CHUNK_BYTES = 1 << 20
+#: Text in a bucket, as Catalyst estimates it, and the most buckets its tables may have.
+BUCKET_BYTES, MOST_BUCKETS = 1 << 30, 100_000
+UNKNOWN_BYTES = 1 << 56
 ANSWERS = "array<struct<bucket:int,answer:binary>>"
 #: Sorts after every document: a null id is smaller than no other.
 NO_ID = np.iinfo(np.int64).max
@@ -50,20 +52,30 @@ def store_chunks(docs: DataFrame, text: str = "text", key: str = "doc_id", chunk
         if ids:
             yield pa.RecordBatch.from_pylist([{"chunk": number, "doc_ids": ids, "texts": texts}], schema=kinds)
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"chunks_{uuid.uuid4().hex}"
+    n = text_buckets(docs)
+    name, path = new_table(spark, "chunks")
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     (
         chosen.mapInArrow(build, _CHUNK).repartition(n, "chunk")
-        .write.bucketBy(n, "chunk").sortBy("chunk").option("path", f"{shared_dir(spark)}/{name}")
+        .write.bucketBy(n, "chunk").sortBy("chunk").option("path", path)
         .option("compression", "zstd").saveAsTable(name)
     )
     return spark.table(name)
 
 
-def buckets_of(df: DataFrame) -> int:
-    """Buckets per round: enough that one fits a task, growing with the session's partitions."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def text_buckets(docs: DataFrame) -> int:
+    """Buckets of the stored texts: by the size Catalyst sees, and no fewer than the session's partitions.
+
+    Rows that come from no file have no size there; then the session's partitions are taken.
+    """
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_BUCKETS, -(-size // BUCKET_BYTES))) if size < UNKNOWN_BYTES else least
+
+
+def buckets_of(docs: DataFrame) -> int:
+    """Buckets of hashes per round: enough that one fits a task, growing with the texts."""
+    return 4 * text_buckets(docs)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -130,14 +142,17 @@ def answers_for(
     return out
 
 
-def ask(rows: DataFrame, question: Callable, answer: Callable, columns: dict[str, np.dtype]) -> DataFrame:
+def ask(
+    rows: DataFrame, question: Callable, answer: Callable, columns: dict[str, np.dtype], n_buckets: int
+) -> DataFrame:
     """One round: ``(chunk, answers)`` for the chunk rows that asked something.
 
     ``question(row)`` gives distinct hashes and, for each of ``columns`` but the first, which is the hash as it
-    travels, a value per hash; and, if the hash itself does not choose the bucket, one that does. ``answer(arrays, owners)`` sees the rows of one bucket as joined arrays, with
-    the asker of each entry as a number, and returns a byte per entry.
+    travels, a value per hash; and, if the hash itself does not choose the bucket, one that does.
+    ``answer(arrays, owners)`` sees the rows of one bucket as joined arrays, with the asker of each entry as a
+    number, and returns a byte per entry.
     """
-    n_buckets, kinds = buckets_of(rows), list(columns.items())
+    kinds = list(columns.items())
 
     def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

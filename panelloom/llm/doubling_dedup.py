@@ -4,8 +4,8 @@ A window of the full length can repeat only if the shorter windows inside it do.
 base length, then of twice that length, and so on up to the full length are looked up over all documents, and only
 where both halves repeated is a longer one asked about. At the base length one window stands for all full windows
 that share it as their smallest hash, so a tenth to a fifth of the positions ask. Short windows travel as 32 bits
-beside their bucket: a false match costs a question in the next round. The last round decides on 64 bits beside a
-bucket drawn from other bits, and gives the smallest document that has the window.
+beside their bucket: a false match costs a question in the next round. The last round takes windows with equal 64-bit
+hashes for equal, and tells whether a smaller document has the window.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def remove_repeats(
     a window loses none. An empty table gives an empty result.
     """
     stored = C.store_chunks(docs, text, key)
-    n_buckets, sizes = C.buckets_of(stored), levels(window, base)
+    n_buckets, sizes = C.buckets_of(docs), levels(window, base)
     rows = stored
     for k in range(len(sizes)):
         final = k == len(sizes) - 1
@@ -132,7 +132,7 @@ def remove_repeats(
             columns = {"hash": np.dtype("<u8"), "low": np.dtype("<i8")}
         else:
             columns = {"hash": np.dtype("<u4"), "several": np.dtype("<u1")}
-        replies = materialize(C.ask(rows, question, _smaller if final else _repeats, columns), "answers")
+        replies = materialize(C.ask(rows, question, _smaller if final else _repeats, columns, n_buckets), "answers")
         rows = rows.join(replies.withColumnRenamed("answers", f"answers_{k}"), "chunk", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,16 +131,17 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, text: str = "text
     winners = labels.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("apart")).agg(
         F.min_by(F.struct("doc_id", "fp"), F.struct(no_key, "doc_id", "fp")).alias("w"),
     )
-    # How often the winning key occurs: nearly always once.
-    same = labels.groupBy("doc_id").count()
-    winners = winners.select(F.col("w.doc_id").alias("k"), F.col("w.fp").alias("f")).join(
-        same, F.col("k").eqNullSafe(F.col("doc_id"))
-    )
-    winners = materialize(winners.select("k", "f", F.col("count").alias("n")), "winners")
+    # Rows meet the keys that go, which are fewer than those that stay; a key that occurs more than once (hardly any
+    # does) goes as well, and its winning rows are found by fingerprint.
+    kept = winners.select(F.col("w.doc_id").alias("k"), F.col("w.fp").alias("f"))
+    tally = labels.groupBy("doc_id").count().join(kept, F.col("doc_id").eqNullSafe(F.col("k")), "left")
+    tally = materialize(tally.select("doc_id", "count", "f"), "tally")
+    gone = materialize(tally.filter("count > 1 OR f IS NULL").select(F.col("doc_id").alias("k")).distinct(), "gone")
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    once = rows.join(winners.filter("n = 1"), F.col("_key").eqNullSafe(F.col("k"))).select("_row.*")
-    if not winners.filter("n > 1").limit(1).count():
+    once = rows.join(gone, F.col("_key").eqNullSafe(F.col("k")), "left_anti").select("_row.*")
+    winners = tally.filter("count > 1 AND f IS NOT NULL").select(F.col("doc_id").alias("k"), "f")
+    if not winners.limit(1).count():
         return once
-    again = rows.join(winners.filter("n > 1"), F.col("_key").eqNullSafe(F.col("k")))
+    again = rows.join(winners, F.col("_key").eqNullSafe(F.col("k")))
     again = again.withColumn("_fp", _fingerprint_of(width)("_text")).filter("_fp = f")
     return once.union(again.groupBy("k", "f").agg(F.any_value("_row").alias("_row")).select("_row.*"))

@@ -155,7 +155,7 @@ def remove_repeats(
     Strings around an anchor that occurs more than ``hot`` times are compared by 64-bit hash instead of sorted.
     """
     stored = C.store_chunks(docs, text, key)
-    n_buckets = C.buckets_of(stored)
+    n_buckets = C.buckets_of(docs)
     hot = max(1, hot)
 
     def anchors(row):
@@ -171,10 +171,11 @@ def remove_repeats(
         distinct, route, _, _, count = with_segments(row).asked_segments()
         return distinct, [route, count > 1], route
 
-    first = C.ask(stored, anchors, lambda a, o: _occurrences(a, o, hot), {"hash": np.dtype("<u4"), "count": np.dtype("<u4")})
+    counted = {"hash": np.dtype("<u4"), "count": np.dtype("<u4")}
+    first = C.ask(stored, anchors, lambda a, o: _occurrences(a, o, hot), counted, n_buckets)
     rows = stored.join(materialize(first, "answers").withColumnRenamed("answers", "answers_0"), "chunk", "left")
     second = C.ask(
-        rows, segments, _judge, {"hash": np.dtype("<u8"), "anchor": np.dtype("<u8"), "several": np.dtype("<u1")}
+        rows, segments, _judge, {"hash": np.dtype("<u8"), "anchor": np.dtype("<u8"), "several": np.dtype("<u1")}, n_buckets
     )
     rows = rows.join(materialize(second, "answers").withColumnRenamed("answers", "answers_1"), "chunk", "left")
 
@@ -186,7 +187,7 @@ def remove_repeats(
         return found, [count > 1]
 
     some_hot = rows.filter("exists(answers_0, a -> contains(a.answer, X'02'))")
-    third = C.ask(some_hot, strings, _repeats, {"hash": np.dtype("<u8"), "several": np.dtype("<u1")})
+    third = C.ask(some_hot, strings, _repeats, {"hash": np.dtype("<u8"), "several": np.dtype("<u1")}, n_buckets)
     rows = rows.join(materialize(third, "answers").withColumnRenamed("answers", "answers_2"), "chunk", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -546,3 +546,24 @@ def test_toxicity_learns_from_training_folds_only(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert nb_char.toxicity(odd_docs, none).filter("predicted = 1").count() == 0
     assert nb_char.toxicity(no_docs, none).count() == 0
+
+
+def test_release_leaves_nothing_of_the_chunks(spark, docs, monkeypatch):
+    from pathlib import Path
+
+    from panelloom import session
+    from panelloom.llm import chunks
+
+    monkeypatch.setattr(session, "_written", {})
+    monkeypatch.setattr(session, "_tables", {})
+    tables = {t.name for t in spark.catalog.listTables()}
+    folders = set(Path(shared_dir(spark)).iterdir())
+    assert doubling_dedup.remove_repeats(docs).count() == suffix_dedup.remove_repeats(docs).count() == docs.count()
+    assert len({t.name for t in spark.catalog.listTables()} - tables) == 2
+    session.release(spark)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert set(Path(shared_dir(spark)).iterdir()) == folders
+    monkeypatch.setattr(chunks, "BUCKET_BYTES", 1000)
+    size = chunks.text_buckets(docs)
+    assert size > 8 and chunks.buckets_of(docs) == 4 * size
+    assert chunks.text_buckets(spark.createDataFrame(docs.limit(1).collect())) == 8  # no file, no size
