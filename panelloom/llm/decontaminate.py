@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.llm.automaton import SuffixAutomaton
+from panelloom.llm.workers import tidy
 from panelloom.session import materialize
 
 WINDOW = 10
@@ -136,7 +137,7 @@ def _hits(docs: DataFrame, sent, text: str) -> DataFrame:
                 names=["digest", "spans", "items"],
             )
 
-    return docs.select(_digest(text).alias("digest"), F.col(text).alias("text")).mapInArrow(scan, _DIGESTED)
+    return docs.select(_digest(text).alias("digest"), F.col(text).alias("text")).mapInArrow(tidy(scan), _DIGESTED)
 
 
 def _digest(text: str) -> Column:
@@ -184,7 +185,7 @@ def _pass(docs: DataFrame, items: DataFrame, window: int, block_words: int, text
             kept = batch.column(0).filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept, *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["row", *names])
 
-    return rows.mapInArrow(scan, f"row {rows.schema['row'].dataType.simpleString()}, {fields}")
+    return rows.mapInArrow(tidy(scan), f"row {rows.schema['row'].dataType.simpleString()}, {fields}")
 
 
 class _Found:

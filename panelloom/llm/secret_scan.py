@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelloom.llm.workers import tidy
 from panelloom.session import materialize
 
 #: Fixed values of the contract: the sure kinds, in the order of the list, and how long a match must be.
@@ -115,7 +116,7 @@ def scan_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
             yield pa.RecordBatch.from_arrays(out, names=["row_id", "doc_id", "base", "parts"])
 
     chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return chosen.mapInArrow(scan, _SCAN)
+    return chosen.mapInArrow(tidy(scan), _SCAN)
 
 
 def _digest(text: Column) -> Column:
@@ -134,7 +135,7 @@ def scan_distinct(docs: DataFrame, text: str = "text") -> DataFrame:
             yield out.filter(full)
 
     chosen = docs.select(_digest(F.col(text)).alias("row_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(scan, "row_id binary, parts array<struct<start:long,kind:int,end:long,scope:long>>")
+    return chosen.mapInArrow(tidy(scan), "row_id binary, parts array<struct<start:long,kind:int,end:long,scope:long>>")
 
 
 def link_parts(scanned: DataFrame) -> DataFrame:

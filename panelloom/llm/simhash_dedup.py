@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.llm.components import roots
+from panelloom.llm.workers import tidy
 from panelloom.session import materialize
 
 BITS = 64
@@ -54,7 +55,7 @@ def fingerprints(docs: DataFrame, width: int = 3, text: str = "text", key: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
     chosen = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(scan, "doc_id long, fp long")
+    return chosen.mapInArrow(tidy(scan), "doc_id long, fp long")
 
 
 def _fingerprint_of(width: int):

@@ -14,7 +14,8 @@ from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
-import pyarrow as pa
+
+from panelloom.llm.workers import give_back
 
 #: A word of Latin letters, and plain punctuation after it: encoders of both kinds cut between the two.
 _WORD_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@\[\]^_`{|}~\"-]*)").fullmatch
@@ -175,7 +176,7 @@ def encoder(path: str) -> Iterator[Encoder]:
         yield _encoders[key]
     finally:
         _encoders[key].trim()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def in_groups(texts: Iterable[str | None], chars: int = _GROUP_CHARS) -> Iterator[list[str | None]]:
