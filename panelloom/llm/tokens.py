@@ -167,15 +167,15 @@ def _plain(text: str) -> bool:
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
-    """The encoder of this worker process, kept between tasks with few of its pieces."""
+def encoder(path: str, idle: int = _IDLE_PIECES) -> Iterator[Encoder]:
+    """The encoder of this worker process, kept between tasks with ``idle`` of its pieces."""
     key = (path, os.getpid())
     if key not in _encoders:
         _encoders[key] = Encoder(path)
     try:
         yield _encoders[key]
     finally:
-        _encoders[key].trim()
+        _encoders[key].trim(idle)
         give_back()
 
 

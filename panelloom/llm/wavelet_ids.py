@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from panelloom.llm.tokens import encoder
 
 BLOCK = 512
+#: Pieces that a worker keeps between tasks (about 100 MB), as the tasks of a write all use the same tokenizer.
+IDLE_PIECES = 400_000
 SHARD_SCHEMA = (
     "part int, shard int, n long, bits int, zeros array<long>, planes array<binary>, ranks array<binary>, "
     "doc_ids array<long>, doc_tokens array<long>"
@@ -121,7 +123,7 @@ def write_token_shards(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with encoder(tokenizer) as e:
+        with encoder(tokenizer, idle=IDLE_PIECES) as e:
             yield from encode_with(e.ids, batches)
 
     def encode_with(ids_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
