@@ -96,7 +96,10 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 def prefix_hashes(values: np.ndarray) -> np.ndarray:
     """Running sums from which :func:`range_hashes` takes the hash of any stretch."""
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(values.astype(np.uint64) * powers(len(values)))))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.multiply(values, powers(len(values)), out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
+    return sums
 
 
 def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -1,7 +1,8 @@
 """Suffix sorting by induction, with queues that spill to disk.
 
 Types, left-most S places and the two inductions are those of induced sorting; the S order comes from sorting the
-names of the substrings between S places, recursively while names repeat. Induction is a priority queue on
+pieces between S places, several symbols at a time, and the string of their names, recursively while names repeat.
+Induction is a priority queue on
 (symbol, arrival): it is kept as buckets of neighbouring symbols, each an append-only list of places that goes to
 a temporary file when the queue outgrows its memory and is read back when its turn comes. Items leave a bucket in
 runs that cannot induce anything smaller than what leaves with them, so each step works on whole arrays.
@@ -16,7 +17,8 @@ import tempfile
 
 import numpy as np
 
-_NEVER = np.iinfo(np.int64).max
+#: Buckets of a queue, the fewest places in one, and how many waiting places are looked at together at least.
+_SHARES, _LEAST_SHARE, _STEP = 256, 4096, 1024
 
 
 class Queue:
@@ -29,11 +31,11 @@ class Queue:
         self.name = f"{folder}/{id(self)}"
 
     def push(self, places: np.ndarray, buckets: np.ndarray) -> None:
-        order = np.argsort(buckets, kind="stable")
+        order = np.argsort(buckets, kind="stable")  # 16 bits: counted, not compared
         places, buckets = places[order], buckets[order]
-        edges = np.flatnonzero(np.diff(buckets)) + 1
-        for part, b in zip(np.split(places, edges), buckets[np.concatenate(([0], edges))].tolist(), strict=True):
-            self.waiting[b].append(part)
+        edges = [0, *(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1).tolist(), len(places)]
+        for b, lo, hi in zip(buckets[edges[:-1]].tolist(), edges, edges[1:], strict=False):
+            self.waiting[b].append(places[lo:hi])
         self.held += len(places)
         if self.held > self.memory:
             for b, parts in enumerate(self.waiting):
@@ -60,65 +62,109 @@ def _induce(symbols: np.ndarray, seeds: np.ndarray, take: np.ndarray, memory: in
     the one before it if that is in ``take``, whose symbol is then not smaller.
     """
     counts = np.bincount(symbols)
-    share = max(4096, len(symbols) // 256)
+    share = max(_LEAST_SHARE, len(symbols) // _SHARES)
     bucket = (np.cumsum(counts) - 1).clip(0) // share  # by symbol; neighbouring rare symbols share one
-    _, bucket = np.unique(bucket, return_inverse=True)
+    bucket = np.unique(bucket, return_inverse=True)[1].astype(np.uint16)
     n_buckets = int(bucket[-1]) + 1
+    ends = np.searchsorted(bucket, np.arange(n_buckets), side="right")  # the first symbol behind each bucket
+    # What a place induces: the symbol before it, -1 where nothing.
+    given = np.full(len(symbols), -1, np.int32)
+    np.copyto(given[1:], symbols[:-1], where=take[:-1])
     queue, out = Queue(n_buckets, memory, folder), []
     edges = np.searchsorted(bucket[symbols[seeds]], np.arange(n_buckets + 1))
+    none = np.zeros(0, np.int64)
     for b in range(n_buckets):
         queued, fresh = queue.pop(b), seeds[edges[b] : edges[b + 1]]
-        places = np.concatenate((queued, fresh))
-        keys = 2 * symbols[places].astype(np.int64)
+        waiting = np.concatenate((queued, fresh))
+        keys = 2 * symbols[waiting].astype(np.int64)
         keys[len(queued) :] += 1
         order = np.argsort(keys, kind="stable")
-        places, keys = places[order], keys[order]
-        while len(places):
-            before = np.maximum(places - 1, 0)
-            gives = (places > 0) & take[before]
-            target = symbols[before].astype(np.int64)
-            here = gives & (bucket[target] == b)
-            least = np.minimum.accumulate(np.where(here, 2 * target, _NEVER))
-            late = np.flatnonzero(keys[1:] > least[:-1])
-            cut = int(late[0]) + 1 if len(late) else len(places)
-            out.append(places[:cut][(keys[:cut] & 1) == 0])
-            far = gives[:cut] & ~here[:cut]
-            if far.any():
-                queue.push(before[:cut][far], bucket[target[:cut][far]])
-            near = before[:cut][here[:cut]]
-            places, keys = places[cut:], keys[cut:]
-            if len(near):
-                places = np.concatenate((places, near))
-                keys = np.concatenate((keys, 2 * symbols[near].astype(np.int64)))
-                order = np.argsort(keys, kind="stable")
-                places, keys = places[order], keys[order]
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+        waiting, keys = waiting[order], keys[order]
+        at, step = 0, _STEP
+        near, near_keys = none, none  # induced into this very bucket, later than all that waited there
+        while at < len(waiting) or len(near):
+            # What may leave next: some of those that waited, and the near ones that come before the rest.
+            upto = min(at + step, len(waiting))
+            n_near = len(near) if upto == len(waiting) else int(np.searchsorted(near_keys, keys[upto], "left"))
+            places, now = waiting[at:upto], keys[at:upto]
+            if n_near:
+                places = np.concatenate((places, near[:n_near]))
+                now = np.concatenate((now, near_keys[:n_near]))
+                order = np.argsort(now, kind="stable")
+                places, now = places[order], now[order]
+            target = given[places]
+            inside = np.flatnonzero((target >= 0) & (target < ends[b]))
+            cut = len(places)
+            if len(inside):
+                # Nothing leaves behind a larger key than one that is induced before it.
+                least = np.minimum.accumulate(2 * target[inside].astype(np.int64))
+                late = np.searchsorted(now, least, side="right")
+                late = np.maximum(late, inside + 1)
+                cut = int(late.min())
+                inside = inside[inside < cut]
+            if n_near:
+                old = int(np.count_nonzero(order[:cut] < upto - at))
+                at, near, near_keys = at + old, near[cut - old :], near_keys[cut - old :]
+            else:
+                at += cut
+            places, now, target = places[:cut], now[:cut], target[:cut]
+            out.append(places[(now & 1) == 0])
+            far = np.flatnonzero(target >= ends[b])
+            if len(far):
+                queue.push(places[far] - 1, bucket[target[far]])
+            if len(inside):
+                near = np.concatenate((near, places[inside] - 1))
+                near_keys = np.concatenate((near_keys, 2 * target[inside].astype(np.int64)))
+                order = np.argsort(near_keys, kind="stable")
+                near, near_keys = near[order], near_keys[order]
+            step = max(_STEP, 2 * cut)
+    return np.concatenate(out) if out else none
 
 
 def _types(symbols: np.ndarray) -> np.ndarray:
     """Whether the suffix at each place is smaller than the next; the last place is the end mark."""
-    n = len(symbols)
-    change = np.flatnonzero(np.diff(symbols.astype(np.int64)))
+    change = np.flatnonzero(symbols[1:] != symbols[:-1])
     up = symbols[change] < symbols[change + 1]
-    following = np.searchsorted(change, np.arange(n - 1))
-    small = np.ones(n, bool)
-    small[:-1] = up[following]
-    return small
-
-
-def _name(symbols: np.ndarray, ordered: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Names of the substrings ``[place, end]`` in sorted order: equal ones share a name."""
-    new = np.ones(len(ordered), bool)
-    a, b = ordered[:-1], ordered[1:]
-    size = ends[ordered] - ordered + 1
-    same = np.flatnonzero(size[1:] == size[:-1])
-    if len(same):
-        lengths = size[1:][same]
-        offset = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        equal = symbols[np.repeat(a[same], lengths) + offset] == symbols[np.repeat(b[same], lengths) + offset]
-        whole = np.logical_and.reduceat(equal, np.cumsum(lengths) - lengths)
-        new[1:][same[whole]] = False
-    return np.cumsum(new) - 1
+    return np.append(np.repeat(up, np.diff(change, prepend=-1)), True)
+
+
+def _sort_pieces(symbols: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the pieces from each mark to the next, and their names in that order; equal ones share a name.
+
+    As many symbols as go into 64 bits are compared at a time. A piece that begins another ends in a smaller
+    suffix than the other's symbol can start, so it sorts behind: what follows an end counts as largest.
+    """
+    n = len(symbols)
+    bits = int(symbols.max() + 1).bit_length()
+    per, above = 64 // bits, np.uint64((1 << bits) - 1)
+    size = np.append(np.diff(marks) + 1, 1)
+
+    def words(which: np.ndarray, done: int) -> np.ndarray:
+        word, place, left = np.zeros(len(which), np.uint64), marks[which] + done, size[which] - done
+        for j in range(per):
+            symbol = symbols[np.minimum(place + j, n - 1)].astype(np.uint64)
+            symbol[left <= j] = above
+            word = word << np.uint64(bits) | symbol
+        return word
+
+    word = words(np.arange(len(marks)), 0)
+    order = np.argsort(word)
+    word = word[order]
+    new = np.append(True, word[1:] != word[:-1])
+    done = per
+    while True:
+        # Equal so far, and not yet at their ends: place in ``order``, group, and next symbols.
+        group = np.cumsum(new) - 1
+        alone = new & np.append(new[1:], True)
+        open_ = np.flatnonzero(~alone & (size[order] >= done))
+        if not len(open_) or int(size[order[open_]].max()) <= done:
+            return order, group
+        word, own = words(order[open_], done), group[open_]
+        inner = np.lexsort((word, own))
+        order[open_] = order[open_][inner]
+        word, own = word[inner], own[inner]
+        new[open_] = np.append(True, (word[1:] != word[:-1]) | (own[1:] != own[:-1]))
+        done += per
 
 
 def _order(symbols: np.ndarray, memory: int, folder: str) -> np.ndarray:
@@ -128,37 +174,28 @@ def _order(symbols: np.ndarray, memory: int, folder: str) -> np.ndarray:
         return np.arange(n)[::-1].copy()
     small = _types(symbols)
     marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1  # left-most S places, the end mark last
-    top = int(symbols.max())
-    falling = top - symbols
-
-    def both(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        larger = _induce(symbols, seeds, ~small, memory, folder)
-        smaller = _induce(falling, larger[::-1], small, memory, folder)[::-1]
-        return larger, smaller
-
-    # First by substring: seeds in order of their symbol alone.
-    _, smaller = both(marks[np.argsort(symbols[marks], kind="stable")])
-    is_mark = np.zeros(n, bool)
-    is_mark[marks] = True
-    ordered = np.concatenate(([n - 1], smaller[is_mark[smaller]]))
-    ends = np.full(n, n - 1)
-    ends[marks[:-1]] = marks[1:]
-    names = _name(symbols, ordered, ends)
+    order, names = _sort_pieces(symbols, marks)
     if names[-1] + 1 < len(marks):  # names repeat: sort the string of names
-        by_place = np.zeros(n, np.int64)
-        by_place[ordered] = names
-        ordered = marks[_order(by_place[marks], memory, folder)]
-    larger, smaller = both(ordered)
+        by_place = np.empty(len(marks), np.int32)
+        by_place[order] = names
+        del names
+        order = _order(by_place, memory, folder)
+    larger = _induce(symbols, marks[order], ~small, memory, folder)
+    smaller = _induce(symbols.max() - symbols, larger[::-1], small, memory, folder)[::-1]
+    # Of each symbol the larger suffixes come first.
     found = np.concatenate(([n - 1], larger, smaller))
-    rank = 2 * symbols[found].astype(np.int64)
+    rank = 2 * symbols[found]
     rank[1 + len(larger) :] += 1
     return found[np.argsort(rank, kind="stable")]
 
 
 def suffix_order(text: np.ndarray, memory: int = 1 << 24) -> np.ndarray:
-    """Starts of the suffixes of ``text`` (symbols from 1) in order; queues hold ``memory`` places at most."""
+    """Starts of the suffixes of ``text`` in order; queues hold ``memory`` places at most.
+
+    Symbols are whole numbers from 1, below 2 ** 30, as is the number of them.
+    """
     with tempfile.TemporaryDirectory() as folder:
-        return _order(np.append(text.astype(np.int64), 0), memory, folder)[1:]
+        return _order(np.append(text, 0).astype(np.int32), memory, folder)[1:]
 
 
 def shared_prefix(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:

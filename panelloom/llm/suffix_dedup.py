@@ -33,55 +33,62 @@ ALL, SEND, FIRST = 1, 2, 4
 #: An anchor with more occurrences is hot: the strings around it are asked about one by one, under their own hashes.
 HOT = 2000
 SHARD_BYTES = 4 << 20
+#: Strings whose anchors are looked for together: what that takes stays in the processor's cache.
+_BLOCK = 1 << 15
 _SENT = "anchor long, chunk long, segment long, alone boolean, bytes binary"
 _VERDICT = "chunk long, segment long, found binary"
 
 
 class Bytes:
-    """The bytes of a chunk, the starts of its full-length strings, and the anchor of each."""
+    """The bytes of a chunk, and its runs of consecutive full-length strings with one anchor."""
 
     def __init__(self, row: dict, length: int, anchor: int):
         self.blobs = [(t or "").encode() for t in row["texts"]]
         self.data = np.frombuffer(b"".join(self.blobs), np.uint8)
-        self.length, self.anchor_bytes = length, anchor
+        self.length = length
         sizes = np.array([len(b) for b in self.blobs], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        valid = np.zeros(len(self.data) + 1, np.int64)
+        self.sums = C.prefix_hashes(self.data + np.uint64(1))
         long = sizes >= length
-        np.add.at(valid, self.starts[long], 1)
-        np.add.at(valid, self.ends[long] - length + 1, -1)
-        self.full = np.flatnonzero(np.cumsum(valid[:-1]))
-        self.sums = C.prefix_hashes(self.data.astype(np.uint64) + np.uint64(1))
-        if len(self.full):
-            hashes = self.sums[anchor:] - self.sums[:-anchor]
-            hashes *= C.powers(len(self.sums), True)[: len(hashes)]
-            hashes ^= hashes >> np.uint64(32)
-            hashes *= np.uint64(0xD6E8FEB86659FD93)
-            self.anchor = C.windowed_min(hashes, length - anchor + 1)[self.full]
-            self.anchors = np.unique(self.anchor)
-            self.anchor_hash = hashes[self.anchors]
-        else:
-            self.anchor, self.anchors, self.anchor_hash = self.full, self.full, np.zeros(0, np.uint64)
+        first, stop = self.starts[long], self.ends[long] - length + 1  # starts of full-length strings
+        at, hashes = self._changes(anchor) if len(first) else (first, np.zeros(0, np.uint64))
+        # A run also ends with its text; anchors differ from text to text.
+        self.run_start = np.union1d(at, first)
+        self.run_hash = hashes[np.searchsorted(at, self.run_start, "right") - 1]
+        text = np.searchsorted(first, self.run_start, "right") - 1
+        inside = (text >= 0) & (self.run_start < stop[text])
+        self.run_stop = np.minimum(np.append(self.run_start[1:], len(self.data)), stop[text])[inside]
+        self.run_start, self.run_hash = self.run_start[inside], self.run_hash[inside]
+
+    def _changes(self, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the anchor of a string differs from that of the string before, whatever texts they cross; its hash."""
+        width, inverse = self.length - anchor + 1, C.powers(len(self.sums), True)
+        places, hashes, now = [], [], -1
+        for lo in range(0, len(self.data) - self.length + 1, _BLOCK):
+            hi = min(lo + _BLOCK + width - 1, len(self.data) - anchor + 1)
+            h = self.sums[lo + anchor : hi + anchor] - self.sums[lo:hi]
+            h *= inverse[lo:hi]
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            best = C.windowed_min(h, width)
+            new = np.flatnonzero(np.append(best[0] + lo != now, best[1:] != best[:-1]))
+            places.append(new + lo)
+            hashes.append(h[best[new]])
+            now = int(best[-1]) + lo
+        return np.concatenate(places), np.concatenate(hashes)
 
     def asked_anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes, where each anchor finds its own, and how often each occurs."""
-        return np.unique(self.anchor_hash, return_inverse=True, return_counts=True)
+        """Distinct anchor hashes, where each run finds its own, and how often each occurs."""
+        return np.unique(self.run_hash, return_inverse=True, return_counts=True)
 
     def segments(self, anchor_answers: list, n_buckets: int) -> None:
-        """Cut the strings whose anchor repeats into segments of consecutive starts with the same anchor."""
+        """Take the runs whose anchor repeats as segments: the text under consecutive strings with the same anchor."""
         distinct, back, _ = self.asked_anchors()
         told = C.answers_for(distinct, anchor_answers, n_buckets)[back]
-        repeated = told > 0
-        which = np.searchsorted(self.anchors, self.anchor)
-        held = repeated[which] if len(which) else np.zeros(0, bool)
-        at, which = self.full[held], which[held]
-        cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(which) != 0)) + 1
-        first = np.concatenate(([0], cut)).astype(np.int64) if len(at) else np.zeros(0, np.int64)
-        last = np.concatenate((cut, [len(at)])).astype(np.int64) - 1 if len(at) else first
-        self.seg_start, self.seg_end = at[first], at[last] + self.length
-        self.seg_route = self.anchor_hash[which[first]]
-        self.seg_hot = told[which[first]] == 2
+        held = told > 0
+        self.seg_start, self.seg_end = self.run_start[held], self.run_stop[held] - 1 + self.length
+        self.seg_route, self.seg_hot = self.run_hash[held], told[held] == 2
         # Two starts, or one start and two anchors, are two segments; a text and its place in it make one.
         texts = C.range_hashes(self.sums, self.seg_start, self.seg_end)
         self.seg_hash = C.mix(texts ^ C.mix(self.seg_route))
@@ -248,12 +255,13 @@ def remove_repeats(
                 distinct, route, back, index, _ = b.asked_segments()
                 asked = C.answers_for(distinct, row["answers_1"] or [], n_buckets, route)
                 told = asked[back]
-                cover = np.zeros(len(b.data) + 1, np.int64)
+                cover = np.zeros(len(b.data) + 1, np.int32)
                 whole = (told & ALL) > 0
                 np.add.at(cover, b.seg_start[whole], 1)
                 np.add.at(cover, b.seg_end[whole], -1)
-                place = {int(h): i for i, h in enumerate(b.seg_hash.view(np.int64).tolist())}
-                for v in row["verdicts"] or []:
+                verdicts = row["verdicts"] or []
+                place = {h: i for i, h in enumerate(b.seg_hash.view(np.int64).tolist())} if verdicts else {}
+                for v in verdicts:
                     i = place[v["segment"]]
                     n = int(b.seg_end[i] - b.seg_start[i]) - length + 1
                     at = np.flatnonzero(np.unpackbits(np.frombuffer(v["found"], np.uint8), count=n)) + b.seg_start[i]
