@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from itertools import islice
@@ -129,20 +130,27 @@ class Encoder:
             heads = dict(zip(first, self._ask(first), strict=True))
             heads[""] = b""
         rest = [p[1:] if p and self.spaced else p for p in cut]
-        new = set().union(*[set(p).difference(self.known) for p in rest if p])
+        get, found, new = self.known.get, [], set()
+        for pieces in rest:
+            ids = list(map(get, pieces or ()))
+            try:
+                found.append(b"".join(ids))
+            except TypeError:  # some are new
+                new.update([p for p, i in zip(pieces, ids, strict=True) if i is None])
+                found.append(ids)
         long = [p for p in new if len(p) > _LONGEST_KEPT]
         new.difference_update(long)
         self._learn(new)
-        apart = dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)) if long else None
         known, out = self.known, []
-        for text, pieces, own in zip(texts, cut, rest, strict=True):
+        if long:
+            known = ChainMap(dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)), known)
+        for text, pieces, own, ids in zip(texts, cut, rest, found, strict=True):
             if pieces is None:
                 out.append(self._ask([text])[0])
-            elif not pieces:
-                out.append(b"")
-            else:
-                body = map(known.__getitem__, own) if not apart else [apart[p] if p in apart else known[p] for p in own]
-                out.append((heads[pieces[0]] if self.spaced else b"") + b"".join(body))
+                continue
+            if isinstance(ids, list):
+                ids = b"".join([known[p] if i is None else i for p, i in zip(own, ids, strict=True)])
+            out.append(heads[pieces[0]] + ids if self.spaced and pieces else ids)
         return out
 
     def trim(self, most: int = _IDLE_PIECES) -> None:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.tokens import encoder
+from panelloom.llm.tokens import encoder, in_groups
 
 BLOCK = 512
 #: Pieces that a worker keeps between tasks (about 100 MB), as the tasks of a write all use the same tokenizer.
@@ -124,7 +124,7 @@ def write_token_shards(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with encoder(tokenizer, idle=IDLE_PIECES) as e:
-            yield from encode_with(e.ids, batches)
+            yield from encode_with(e.ids_of, batches)
 
     def encode_with(ids_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
@@ -143,8 +143,8 @@ def write_token_shards(
             return pa.RecordBatch.from_pylist([row], schema=SHARD_ARROW)
 
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                blob = ids_of(t.as_py()) + end
+            blobs = (blob + end for texts in in_groups(t.as_py() for t in batch.column(1)) for blob in ids_of(texts))
+            for k, blob in zip(batch.column(0).to_pylist(), blobs, strict=True):
                 held.append(blob)
                 keys.append(k)
                 lengths.append(len(blob) // 4)
