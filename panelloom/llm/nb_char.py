@@ -1,6 +1,6 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text is the set of its hashed n-grams of lower-cased UTF-8. On a bounded sample of labelled texts each n-gram
+A text is the set of the hashed n-grams of its lower-cased characters. On a bounded sample of labelled texts each n-gram
 gets the log ratio of its document frequencies in the two classes; those whose frequencies differ beyond chance
 become features, present ones with their ratio as value; a logistic regression weighs them. Scoring looks every
 n-gram of a text up in one table, so its memory does not depend on the text.
@@ -29,7 +29,7 @@ MAX_CHARS = 100_000
 
 
 def _grams(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Bucket of every n-gram of each size, of bytes already lower-cased."""
+    """Bucket of every n-gram of each size, of code points already lower-cased."""
     total = np.zeros(len(data), np.uint64)
     for n in range(1, SIZES[-1] + 1):
         total = total[: max(0, len(data) - n + 1)] + data[n - 1 :] * np.uint64(pow(_FACTOR, n, 1 << 64))
@@ -42,10 +42,11 @@ def _grams(data: np.ndarray) -> Iterator[np.ndarray]:
 
 def buckets(text: str | None, wanted: np.ndarray | None = None) -> np.ndarray:
     """The distinct buckets of a text, or those of them that are ``wanted``; in steps, whatever its length."""
-    data = np.frombuffer(f" {text or ''} ".lower().encode(), np.uint8)
+    low = f" {text or ''} ".lower()
     found = [np.zeros(0, np.uint32)]
-    for at in range(0, max(1, len(data) - SIZES[-1] + 1), _STEP):
-        for grams in _grams(data[at : at + _STEP + SIZES[-1] - 1].astype(np.uint64)):
+    for at in range(0, max(1, len(low) - SIZES[-1] + 1), _STEP):
+        data = np.frombuffer(low[at : at + _STEP + SIZES[-1] - 1].encode("utf-32-le"), "<u4")
+        for grams in _grams(data.astype(np.uint64)):
             found.append(np.unique(grams if wanted is None else grams[wanted[grams]]))
     return np.unique(np.concatenate(found))
 
@@ -126,7 +127,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
     """Per document: doc_id, held_out, score, predicted. ``labels`` has doc_id and toxic.
 
     Labels of held-out documents, and null labels or keys, are not learnt from. Without labels every score is
-    that of no evidence.
+    that of no evidence. A null or empty text scores as one without n-grams of its own; a text of any length is
+    scored whole; repeated rows score alike; an empty table gives an empty result.
     """
     known = labels.select(F.col("doc_id").alias("key"), F.col("toxic").cast("int").alias("label"))
     model = fit(docs.select(F.col("doc_id").alias("key"), "text"), known)

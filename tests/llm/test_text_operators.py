@@ -548,6 +548,47 @@ def test_toxicity_learns_from_training_folds_only(spark, odd_docs, no_docs):
     assert nb_char.toxicity(no_docs, none).count() == 0
 
 
+def plain_grams(text):
+    low = f" {text or ''} ".lower()
+    return {low[i : i + n] for n in nb_char.SIZES for i in range(len(low) - n + 1)}
+
+
+def plain_bucket(gram):
+    total = sum(ord(c) * pow(nb_char._FACTOR, k, 1 << 64) for k, c in enumerate(gram, 1)) % (1 << 64)
+    return ((total ^ total >> 29) * 0xBF58476D1CE4E5B9 % (1 << 64)) >> (64 - nb_char.HASH_BITS)
+
+
+def test_toxicity_against_plain_counts(monkeypatch):
+    """Features, ratios, optimum and scores of the model, from sets of n-grams counted one by one."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeéßж東🙂", k=4)) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=12)) + (" Zörg" if i % 3 == 0 else "") for i in range(120)] + ["", None, "İ", "ab"]
+    labels = np.array([int(i % 3 == 0) for i in range(120)] + [0] * 4)
+    monkeypatch.setattr(nb_char, "_STEP", 7)  # texts go through in several steps
+    model = nb_char.train(texts, labels)
+    sets = [{plain_bucket(g) for g in plain_grams(t)} for t in texts]
+    assert [set(nb_char.buckets(t).tolist()) for t in texts] == sets
+    n_pos, n_neg = labels.sum(), (1 - labels).sum()
+    pos, neg = (Counter(b for s, y in zip(sets, labels, strict=True) if y == side for b in s) for side in (1, 0))
+    ratio = {b: np.log((pos[b] + 1) / (n_pos + 2)) - np.log((neg[b] + 1) / (n_neg + 2)) for b in pos | neg}
+    chosen = []
+    for b in ratio:
+        share = (pos[b] + neg[b]) / (n_pos + n_neg)
+        spread = np.sqrt(max(share * (1 - share), 1e-12) * (1 / n_pos + 1 / n_neg))
+        if abs(pos[b] / n_pos - neg[b] / n_neg) >= 5 * spread and pos[b] + neg[b] >= 3:
+            chosen.append(b)
+    assert chosen and sorted(chosen) == model.feature.tolist()
+    weight = dict(zip(model.feature.tolist(), model.weight.tolist(), strict=True))
+    scores = [1 / (1 + np.exp(-model.bias - sum(weight.get(b, 0) for b in s))) for s in sets]
+    error = [(p - y) * (0.5 / n_pos if y else 0.5 / n_neg) for p, y in zip(scores, labels, strict=True)]
+    for b in chosen:
+        slope = sum(e * ratio[b] for e, s in zip(error, sets, strict=True) if b in s) + 1e-3 * weight[b] / ratio[b]
+        assert abs(slope) < 0.01
+    wanted, weights = model.table()
+    got = [1 / (1 + np.exp(-model.bias - weights[nb_char.buckets(t, wanted)].sum())) for t in texts]
+    assert np.allclose(got, scores)
+
+
 def test_release_leaves_nothing_of_the_chunks(spark, docs, monkeypatch):
     from pathlib import Path
 
