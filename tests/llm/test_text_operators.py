@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from panelloom.llm import (
     automaton, byte_cnn, cutting_stock, decontaminate, doubling_dedup, induced_sort, nb_char, packing, quality_rules,
     secret_scan, simhash_dedup, suffix_dedup, tokens, wavelet_ids,
 )
-from panelloom.llm.queries import tokenizer_file
+from panelloom.llm.queries import OP1_SQL, op1_quality_rules, tokenizer_file
 from panelloom.session import materialize, shared_dir
 
 from .conftest import ROWS
@@ -74,6 +75,18 @@ def test_quality_filter_keeps_rows(odd_docs, no_docs):
     assert quality_rules.keep_good(no_docs).count() == 0
 
 
+def test_quality_words_per_line(spark, tmp_path):
+    """Long lines fail their rule by ratio: the words of the third text stand on two lines, the bound is inclusive."""
+    words = [w for i in range(2501) for w in (f"word{i}", "the")]
+    texts = [" ".join(words[:5000]), " ".join(words), " ".join(words[:2501]) + "\n \n" + " ".join(words[2501:])]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in op1_quality_rules(spark, str(tmp_path)).collect())
+    assert [(r[0], r[-2], r[-1]) for r in got] == [(0, True, ""), (1, False, "words_per_line"), (2, True, "")]
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert sorted(con.execute(OP1_SQL).fetchall()) == got
+
+
 # ---- 2: packing
 
 
