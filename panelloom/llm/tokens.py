@@ -7,14 +7,17 @@ texts for which the cut would not be exact go to the library whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import ChainMap
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from panelloom.llm.workers import give_back
 
@@ -54,20 +57,22 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for t, i in vocabulary.items() if (t[0] == "Ġ" if self.spaced else t.endswith("</w>"))]] = True
+        self.words = self.tokenizer if self.spaced else _words_only(self.tokenizer, path)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
+    def _ask(self, texts: list[str], tokenizer=None) -> list[bytes]:
         if not texts:
             return []
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _ask_words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters, many to a text; the tokens at a word's edge tell them apart."""
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        asked = [" " + " ".join(g) if self.spaced else " ".join(g).lower() if self.lower_first else " ".join(g) for g in groups]
         out: list[bytes] = []
-        for group, blob in zip(groups, self._ask([("" if not self.spaced else " ") + " ".join(g) for g in groups]), strict=True):
+        for group, blob in zip(groups, self._ask(asked, self.words), strict=True):
             edges = np.flatnonzero(self.edge[np.frombuffer(blob, "<u4")])
             if len(edges) != len(group):
                 out += self._ask([" " + w if self.spaced else w for w in group])
@@ -103,13 +108,13 @@ class Encoder:
         for piece, word, mark in halves:
             known[piece] = known[word] + known[" " + mark]
 
+    def _uncut(self, text: str) -> bool:
+        return bool(self.special(text)) or any(c in text for c in _SEPARATORS)
+
     def _pieces(self, text: str) -> list[str] | None:
-        """The words of a text; None if the cut would not be exact."""
-        if self.special(text) or any(c in text for c in _SEPARATORS):
+        """The words of a text, cut at spaces; None if the cut would not be exact."""
+        if self._uncut(text):
             return None
-        if not self.spaced:
-            # The file lower-cases; up to Latin-1 that is the same done here, and fewer pieces are new.
-            return (text.lower() if self.lower_first and _latin(text) else text).split()
         # Two spaces in a row, and other blanks, belong together in ways a cut at each space would lose.
         if "  " in text or any(c in text for c in "\t\r\x0b\x0c\x85\xa0") or not (text.isascii() or _plain(text)):
             return None
@@ -121,15 +126,15 @@ class Encoder:
 
     def ids_of(self, texts: list[str | None]) -> list[bytes]:
         """Ids of some texts; their new pieces are asked for together."""
+        if not self.spaced:
+            return self._ids_of_words(texts)
         cut = [self._pieces(t) if t else [] for t in texts]
         if len(self.known) > self.remembered:
             self.known, self.before = {}, self.known
-        heads: dict[str, bytes] = {}
-        if self.spaced:
-            first = list({p[0] for p in cut if p and p[0]})
-            heads = dict(zip(first, self._ask(first), strict=True))
-            heads[""] = b""
-        rest = [p[1:] if p and self.spaced else p for p in cut]
+        first = list({p[0] for p in cut if p and p[0]})
+        heads = dict(zip(first, self._ask(first), strict=True))
+        heads[""] = b""
+        rest = [p[1:] if p else p for p in cut]
         get, found, new = self.known.get, [], set()
         for pieces in rest:
             ids = list(map(get, pieces or ()))
@@ -138,27 +143,77 @@ class Encoder:
             except TypeError:  # some are new
                 new.update([p for p, i in zip(pieces, ids, strict=True) if i is None])
                 found.append(ids)
-        long = [p for p in new if len(p) > _LONGEST_KEPT]
-        new.difference_update(long)
-        self._learn(new)
-        known, out = self.known, []
-        if long:
-            known = ChainMap(dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)), known)
+        known, out = self._with(new), []
         for text, pieces, own, ids in zip(texts, cut, rest, found, strict=True):
             if pieces is None:
                 out.append(self._ask([text])[0])
                 continue
             if isinstance(ids, list):
                 ids = b"".join([known[p] if i is None else i for p, i in zip(own, ids, strict=True)])
-            out.append(heads[pieces[0]] + ids if self.spaced and pieces else ids)
+            out.append(heads[pieces[0]] + ids if pieces else ids)
         return out
 
+    def _with(self, new: set[str]) -> Mapping[str, bytes]:
+        """What is known, with the ids of ``new`` pieces; very long ones are not remembered."""
+        long = [p for p in new if len(p) > _LONGEST_KEPT]
+        self._learn(new.difference(long))
+        if not long:
+            return self.known
+        return ChainMap(dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)), self.known)
+
+    def _ids_of_words(self, texts: list[str | None]) -> list[bytes]:
+        """:meth:`ids_of` for a file that drops blanks: all texts are cut as one column, each distinct word looked up once."""
+        if len(self.known) > self.remembered:
+            self.known, self.before = {}, self.known
+        whole = [bool(t) and self._uncut(t) for t in texts]
+        # The file lower-cases; up to Latin-1 that is the same done here, and fewer pieces are new.
+        low = lambda t: t.lower() if self.lower_first and _latin(t) else t
+        column = pa.array(["" if w or not t else low(t) for t, w in zip(texts, whole, strict=True)], pa.large_string())
+        cut = pc.utf8_split_whitespace(column)
+        pieces = cut.flatten().dictionary_encode()
+        distinct, at = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        ids = list(map(self.known.get, distinct))
+        if new := {p for p, i in zip(distinct, ids, strict=True) if i is None}:
+            known = self._with(new)
+            ids = [known[p] if i is None else i for p, i in zip(distinct, ids, strict=True)]
+        joined = b"".join(np.array([*ids, None], object)[at])
+        ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[at])))
+        ends = ends[np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy())))].tolist()
+        return [
+            self._ask([t])[0] if w else joined[a:b]
+            for t, w, a, b in zip(texts, whole, ends, ends[1:], strict=False)
+        ]
+
     def trim(self, most: int = _IDLE_PIECES) -> None:
         """Keep ``most`` pieces, the first learnt or used again since older ones were set aside: mostly frequent ones."""
         if len(self.known) + len(self.before) > most:
             self.known, self.before = dict(islice(self.known.items(), most)), {}
 
 
+def _words_only(tokenizer, path: str):
+    """``tokenizer`` for lower-case Latin-1 words alone: such words leave its normalizer unchanged and its pattern uncut.
+
+    Only for a file whose steps are known to do so; any other is asked as it is.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    normal = [s["type"] for s in steps["normalizer"].get("normalizers", [steps["normalizer"]])]
+    cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if not set(normal) <= {"NFC", "Replace", "Lowercase"} or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return tokenizer
+    if any(s.get("pattern") != {"Regex": r"\s+"} for s in steps["normalizer"].get("normalizers", []) if s["type"] == "Replace"):
+        return tokenizer
+    if r"[\p{L}]+" not in cuts[0]["pattern"].get("Regex", "").split("|") or cuts[1]["use_regex"]:
+        return tokenizer
+    words = Tokenizer(tokenizer.model)
+    words.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return words
+
+
 def _latin(text: str) -> bool:
     if text.isascii():
         return True
