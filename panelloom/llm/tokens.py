@@ -1,8 +1,8 @@
 """Token ids of whole texts from a public tokenizer file, with the ids of frequent words remembered.
 
-A byte-pair encoder treats the words of a text independently once the text is cut at spaces, so the ids of a
-text are the ids of its pieces one after another. :class:`Encoder` asks the library for each new piece once;
-texts for which the cut would not be exact go to the library whole.
+A byte-pair encoder treats the words of a text independently once the text is cut at blanks, so the ids of a
+text are the ids of its pieces one after another. :class:`Encoder` cuts many texts as one column and asks the
+library for each new piece once; texts for which the cut would not be exact go to the library whole.
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import ChainMap
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from itertools import islice
 
@@ -21,15 +20,19 @@ import pyarrow.compute as pc
 
 from panelloom.llm.workers import give_back
 
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 #: A word of Latin letters, and plain punctuation after it: encoders of both kinds cut between the two.
-_WORD_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@\[\]^_`{|}~\"-]*)").fullmatch
+_WORD_MARKS = rf"^(?P<word>[ \n]?{_LETTERS})(?P<marks>[!#$%&()*+,./:;<=>?@\[\]^_`{{|}}~\"-]*)$"
 #: Python splits at these, the library does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Set where a text is to be cut; a text that has it is asked for whole.
+_CUT = _SEPARATORS[0]
 _WIDE_BLANKS = re.compile("[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]").search
 _LONGEST_KEPT = 64
 _TOGETHER = 200
 
-_GROUP_CHARS = 1 << 16
+#: Characters whose distinct words are looked up together.
+_GROUP_CHARS = 1 << 22
 #: What a worker process holds between tasks, as others need the memory: about 25 MB.
 _IDLE_PIECES = 100_000
 
@@ -37,11 +40,11 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes; at most ``2 * remembered`` pieces are held.
+    """Ids as little-endian unsigned 32-bit bytes; at most ``2 * remembered`` pieces and those of one call are held.
 
     Of the two kinds of file, one drops blanks and marks the last token of a word, the other counts a space to
-    the word after it. Pieces are words without their space; in the second kind each stands for the word
-    after a space, and the first of a text is asked for by itself.
+    the word after it. In the first kind pieces are words without blanks, in the second words with the space or
+    line end before them. A piece is remembered, and asked for, as it stands in the text.
     """
 
     def __init__(self, path: str, remembered: int = 600_000):
@@ -56,7 +59,9 @@ class Encoder:
         self.lower_first = self.tokenizer.normalizer is not None and "Lowercase" in str(self.tokenizer.normalizer)
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.edge[[i for t, i in vocabulary.items() if (t[0] == "Ġ" if self.spaced else t.endswith("</w>"))]] = True
+        # A space and a line end as the file spells them.
+        self.edge[[i for t, i in vocabulary.items() if (t[0] in "ĠĊ" if self.spaced else t.endswith("</w>"))]] = True
+        self.grouped = re.compile(("[ \n]" if self.spaced else "") + _LETTERS).fullmatch
         self.words = self.tokenizer if self.spaced else _words_only(self.tokenizer, path)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -70,117 +75,91 @@ class Encoder:
     def _ask_words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters, many to a text; the tokens at a word's edge tell them apart."""
         groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
-        asked = [" " + " ".join(g) if self.spaced else " ".join(g).lower() if self.lower_first else " ".join(g) for g in groups]
+        asked = ["".join(g) if self.spaced else " ".join(g).lower() if self.lower_first else " ".join(g) for g in groups]
         out: list[bytes] = []
         for group, blob in zip(groups, self._ask(asked, self.words), strict=True):
             edges = np.flatnonzero(self.edge[np.frombuffer(blob, "<u4")])
             if len(edges) != len(group):
-                out += self._ask([" " + w if self.spaced else w for w in group])
+                out += self._ask(group)
                 continue
             cuts = [*(4 * edges).tolist(), len(blob)] if self.spaced else [0, *(4 * edges + 4).tolist()]
             out += [blob[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        known, before = self.known, self.before
-        halves, words, others = [], set(), set()
-        for piece in pieces:
-            if (ids := before.get(piece)) is not None:
-                known[piece] = ids
-            elif m := _WORD_MARKS(piece):
-                word, marks = m.groups()
-                if word not in known:
-                    if (ids := before.get(word)) is not None:
-                        known[word] = ids
-                    else:
-                        words.add(word)
-                if marks:
-                    halves.append((piece, word, marks))
-            else:
-                others.add(piece)
-        # Marks on a word never start with a space: kept apart from pieces by a sign no piece has.
-        marks = list({" " + m for _, _, m in halves}.difference(known))
-        known.update(zip(marks, self._ask([m[1:] for m in marks]), strict=True))
-        words = list(words)
-        known.update(zip(words, self._ask_words(words), strict=True))
-        others = list(others)
-        known.update(zip(others, self._ask([" " + p if self.spaced else p for p in others]), strict=True))
-        for piece, word, mark in halves:
-            known[piece] = known[word] + known[" " + mark]
-
-    def _uncut(self, text: str) -> bool:
-        return bool(self.special(text)) or any(c in text for c in _SEPARATORS)
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """The words of a text, cut at spaces; None if the cut would not be exact."""
-        if self._uncut(text):
-            return None
+    def _ids_of_distinct(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; new ones are asked for together and remembered unless they are very long."""
+        ids = list(map(self.known.get, pieces))
+        new = [p for p, i in zip(pieces, ids, strict=True) if i is None]
+        if not new:
+            return ids
+        found = {p: self.before[p] for p in new if p in self.before}
+        words, others = [], []
+        for piece in new:
+            if piece not in found:
+                (words if self.grouped(piece) else others).append(piece)
+        found.update(zip(words, self._ask_words(words), strict=True))
+        found.update(zip(others, self._ask(others), strict=True))
+        self.known.update((p, i) for p, i in found.items() if len(p) <= _LONGEST_KEPT)
+        return [found[p] if i is None else i for p, i in zip(pieces, ids, strict=True)]
+
+    def _ids_of_pieces(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of pieces; the marks behind a word are looked up by themselves, as many words share them."""
+        halves = pc.extract_regex(pieces, _WORD_MARKS)
+        cut = halves.is_valid()
+        halves = [
+            pc.if_else(cut, pc.struct_field(halves, "word"), pieces),
+            pc.if_else(cut, pc.struct_field(halves, "marks"), pa.scalar("", pa.large_string())),
+        ]
+        found = []
+        for half in halves:
+            distinct = half.dictionary_encode()
+            ids = pa.array(self._ids_of_distinct(distinct.dictionary.to_pylist()), pa.large_binary())
+            found.append(ids.take(distinct.indices))
+        return pc.binary_join_element_wise(*found, pa.scalar(b"", pa.large_binary()))
+
+    def _whole(self, text: str) -> bool:
+        """Whether a text has to be asked for whole, as no cut would be exact."""
+        if self.special(text) or any(c in text for c in _SEPARATORS):
+            return True
+        if not self.spaced:
+            return False
         # Two spaces in a row, and other blanks, belong together in ways a cut at each space would lose.
-        if "  " in text or any(c in text for c in "\t\r\x0b\x0c\x85\xa0") or not (text.isascii() or _plain(text)):
-            return None
-        return text.split(" ")
+        return "  " in text or any(c in text for c in "\t\r\x0b\x0c\x85\xa0") or not (text.isascii() or _plain(text))
+
+    def _marked(self, text: str) -> str:
+        """The text with what :meth:`_cut` needs to cut it."""
+        if not self.spaced:
+            # The file lower-cases; up to Latin-1 that is the same done here, and fewer pieces are new.
+            return text.lower() if self.lower_first and _latin(text) else text
+        # A line end among other blanks is not a token by itself: then it stays inside a piece.
+        if "\n" in text and not ("\n\n" in text or " \n" in text or "\n " in text):
+            text = text.replace("\n", _CUT + "\n")
+        return text.replace(" ", _CUT + " ")
+
+    def _cut(self, column: pa.LargeStringArray) -> pa.ListArray:
+        return pc.split_pattern(column, _CUT) if self.spaced else pc.utf8_split_whitespace(column)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text; none for a null or empty one."""
         return self.ids_of([text])[0]
 
     def ids_of(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of some texts; their new pieces are asked for together."""
-        if not self.spaced:
-            return self._ids_of_words(texts)
-        cut = [self._pieces(t) if t else [] for t in texts]
-        if len(self.known) > self.remembered:
-            self.known, self.before = {}, self.known
-        first = list({p[0] for p in cut if p and p[0]})
-        heads = dict(zip(first, self._ask(first), strict=True))
-        heads[""] = b""
-        rest = [p[1:] if p else p for p in cut]
-        get, found, new = self.known.get, [], set()
-        for pieces in rest:
-            ids = list(map(get, pieces or ()))
-            try:
-                found.append(b"".join(ids))
-            except TypeError:  # some are new
-                new.update([p for p, i in zip(pieces, ids, strict=True) if i is None])
-                found.append(ids)
-        known, out = self._with(new), []
-        for text, pieces, own, ids in zip(texts, cut, rest, found, strict=True):
-            if pieces is None:
-                out.append(self._ask([text])[0])
-                continue
-            if isinstance(ids, list):
-                ids = b"".join([known[p] if i is None else i for p, i in zip(own, ids, strict=True)])
-            out.append(heads[pieces[0]] + ids if pieces else ids)
-        return out
-
-    def _with(self, new: set[str]) -> Mapping[str, bytes]:
-        """What is known, with the ids of ``new`` pieces; very long ones are not remembered."""
-        long = [p for p in new if len(p) > _LONGEST_KEPT]
-        self._learn(new.difference(long))
-        if not long:
-            return self.known
-        return ChainMap(dict(zip(long, self._ask([" " + p if self.spaced else p for p in long]), strict=True)), self.known)
-
-    def _ids_of_words(self, texts: list[str | None]) -> list[bytes]:
-        """:meth:`ids_of` for a file that drops blanks: all texts are cut as one column, each distinct word looked up once."""
+        """Ids of some texts, cut as one column: each distinct piece is looked up once, new ones are asked for together."""
+        if not texts:
+            return []
         if len(self.known) > self.remembered:
             self.known, self.before = {}, self.known
-        whole = [bool(t) and self._uncut(t) for t in texts]
-        # The file lower-cases; up to Latin-1 that is the same done here, and fewer pieces are new.
-        low = lambda t: t.lower() if self.lower_first and _latin(t) else t
-        column = pa.array(["" if w or not t else low(t) for t, w in zip(texts, whole, strict=True)], pa.large_string())
-        cut = pc.utf8_split_whitespace(column)
+        whole = [bool(t) and self._whole(t) for t in texts]
+        column = ["" if w or not t else self._marked(t) for t, w in zip(texts, whole, strict=True)]
+        cut = self._cut(pa.array(column, pa.large_string()))
         pieces = cut.flatten().dictionary_encode()
-        distinct, at = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
-        ids = list(map(self.known.get, distinct))
-        if new := {p for p, i in zip(distinct, ids, strict=True) if i is None}:
-            known = self._with(new)
-            ids = [known[p] if i is None else i for p, i in zip(distinct, ids, strict=True)]
-        joined = b"".join(np.array([*ids, None], object)[at])
-        ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[at])))
-        ends = ends[np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy())))].tolist()
+        ids = self._ids_of_pieces(pieces.dictionary).take(pieces.indices)
+        _, offsets, joined = ids.buffers()
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy())))
+        ends = np.frombuffer(offsets, np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        joined = memoryview(joined or b"")
         return [
-            self._ask([t])[0] if w else joined[a:b]
+            self._ask([t])[0] if w else bytes(joined[a:b])
             for t, w, a, b in zip(texts, whole, ends, ends[1:], strict=False)
         ]
 

@@ -238,6 +238,33 @@ def test_word_encoder_in_groups_equals_library():
     assert encoder.ids_of([]) == []
 
 
+def test_encoder_asks_for_each_new_word_once_and_many_together(monkeypatch):
+    """Words at a line end or with marks behind them are new words like any other, and asked for in groups."""
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("abcdefgé", k=9)) for _ in range(3000)})
+    lines = [" ".join(words[i : i + 3]) + rng.choice([".", ",", "!!"]) for i in range(0, len(words), 3)]
+    texts = ["\n".join(lines[i : i + 20]) for i in range(0, len(lines), 20)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.Encoder(tokenizer_file(name))
+        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        asked: list[str] = []
+        ask = encoder._ask
+        monkeypatch.setattr(encoder, "_ask", lambda texts, *more, ask=ask, asked=asked: asked.extend(texts) or ask(texts, *more))
+        for _ in range(2):
+            assert [np.frombuffer(b, "<u4").tolist() for b in encoder.ids_of(texts)] == want
+        assert len(asked) < len(texts) + 30  # the first word of a text has no blank before it
+
+
+def test_line_ends_between_blanks_are_not_cut():
+    encoder = tokens.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    ends = ["\n", "\n\n", "\n\n\n", " \n", "\n ", " \n ", "\n\n ", " ", ""]
+    texts = [f"{a}One.{b}'s two{c}3,{a}" for a in ends for b in ends for c in ends] + ["a\nb", "\n", " ", "a\n's", "é.\nÉ!\n東\n²"]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for group in (texts, texts[::-1], *([t] for t in texts)):
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.ids_of(group)]
+        assert got == [want[texts.index(t)] for t in group]
+
+
 def test_wavelet_matrix():
     rng = np.random.default_rng(0)
     for n in (0, 1, 511, 513, 3000):
