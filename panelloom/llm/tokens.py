@@ -92,14 +92,16 @@ class Encoder:
         new = [p for p, i in zip(pieces, ids, strict=True) if i is None]
         if not new:
             return ids
-        found = {p: self.before[p] for p in new if p in self.before}
+        found = {p: self.before[p] for p in new if p in self.before} if self.before else {}
         words, others = [], []
         for piece in new:
             if piece not in found:
                 (words if self.grouped(piece) else others).append(piece)
         found.update(zip(words, self._ask_words(words), strict=True))
         found.update(zip(others, self._ask(others), strict=True))
-        self.known.update((p, i) for p, i in found.items() if len(p) <= _LONGEST_KEPT)
+        self.known.update(found)
+        for piece in [p for p in new if len(p) > _LONGEST_KEPT]:
+            del self.known[piece]
         return [found[p] if i is None else i for p, i in zip(pieces, ids, strict=True)]
 
     def _ids_of_pieces(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
@@ -113,7 +115,7 @@ class Encoder:
         found = []
         for half in halves:
             distinct = half.dictionary_encode()
-            ids = pa.array(self._ids_of_distinct(distinct.dictionary.to_pylist()), pa.large_binary())
+            ids = pa.array(self._ids_of_distinct(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
             found.append(ids.take(distinct.indices))
         return pc.binary_join_element_wise(*found, pa.scalar(b"", pa.large_binary()))
 

@@ -24,8 +24,6 @@ from panelloom.llm.tokens import encoder, in_groups
 BLOCK = 512
 #: Pieces that a worker keeps between tasks (about 100 MB), as the tasks of a write all use the same tokenizer.
 IDLE_PIECES = 400_000
-#: Characters whose distinct words are looked up together.
-GROUP_CHARS = 1 << 20
 SHARD_SCHEMA = (
     "part int, shard int, n long, bits int, zeros array<long>, planes array<binary>, ranks array<binary>, "
     "doc_ids array<long>, doc_tokens array<long>"
@@ -145,7 +143,7 @@ def write_token_shards(
             return pa.RecordBatch.from_pylist([row], schema=SHARD_ARROW)
 
         for batch in batches:
-            groups = in_groups((t.as_py() for t in batch.column(1)), GROUP_CHARS)
+            groups = in_groups(t.as_py() for t in batch.column(1))
             blobs = (blob + end for texts in groups for blob in ids_of(texts))
             for k, blob in zip(batch.column(0).to_pylist(), blobs, strict=True):
                 held.append(blob)
