@@ -255,6 +255,18 @@ def test_encoder_asks_for_each_new_word_once_and_many_together(monkeypatch):
         assert len(asked) < len(texts) + 30  # the first word of a text has no blank before it
 
 
+def test_marks_behind_words_are_remembered_once():
+    """One word with several marks behind it is one remembered word, not one for each of them."""
+    words = [f"{a}{b}word" for a in "abcdefgh" for b in "klmnop"]
+    marks = ["", ".", ",", "!!", "###", "--", ")."]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = tokens.Encoder(tokenizer_file(name))
+        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.ids_of(texts)] == want
+        assert len(encoder.known) <= len(words) + len(marks) + 1  # and the word that begins a text
+
+
 def test_line_ends_between_blanks_are_not_cut():
     encoder = tokens.Encoder(tokenizer_file("byte_bpe_50k.json"))
     ends = ["\n", "\n\n", "\n\n\n", " \n", "\n ", " \n ", "\n\n ", " ", ""]
